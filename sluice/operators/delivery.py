@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.casts import token_to_long
-from sluice.functions.numbering import first_k_per_group
 from sluice.functions.sizing import bounded_broadcast
 
 # A progress table has one row per log partition; this bounds it.
@@ -76,22 +75,44 @@ def commit_wait(status: DataFrame, start_ts: Column, timeout_hours: int,
 
 def error_cap(validated: DataFrame, max_errors: int = 5,
               keys: Sequence[str] = ("topic", "partition"), offset: str = "offset",
-              spread_block: int = 1 << 16) -> DataFrame:
+              block_size: int = 1 << 16) -> DataFrame:
     """A producer stops after its ``max_errors``-th failed row. Per partition:
-    the offset where it stopped, rows sent up to there, errors seen.
-
-    The k-th error is found with a spread first-k (hot partitions split by
-    offset block), the stop point joins back as a one-row-per-partition table.
+    the offset where it stopped (NULL if it never did), the rows sent up to
+    there, and the errors seen.
+
+    One pass, exact, with no partition-wide window: rows are windowed per
+    (partition, offset block) -- a hot partition is cut into bounded blocks --
+    to get each error's position and error rank inside its block; the same
+    partitioning feeds a per-block aggregate that keeps at most ``k`` error
+    entries per block. A prefix over the small block table then locates the
+    k-th error of each partition and the rows before it.
     """
-    errs = validated.where(~F.col("is_valid")).select(*keys, offset)
-    kth = (first_k_per_group(errs, keys, [offset], max_errors,
-                             F.floor(F.col(offset) / spread_block))
-           .where(F.col("__rank") == max_errors)
-           .select(*keys, F.col(offset).alias("stop_offset")))
-    stops = bounded_broadcast(kth, MAX_PARTITIONS)
-    sent = validated.join(stops, list(keys), "left").where(
-        F.col("stop_offset").isNull() | (F.col(offset) <= F.col("stop_offset")))
-    return (sent.groupBy(*keys)
+    k = max_errors
+    bad = ~F.col("is_valid")
+    slim = validated.select(*keys, offset, "is_valid",
+                            F.floor(F.col(offset) / block_size).alias("__blk"))
+    w = Window.partitionBy(*keys, "__blk").orderBy(offset)
+    ranked = slim.select(
+        *keys, "__blk", offset, "is_valid",
+        F.row_number().over(w).alias("__pos"),
+        F.sum(bad.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+         .alias("__erank"))
+    blocks = (ranked.groupBy(*keys, "__blk")
+              .agg(F.count(F.lit(1)).alias("n_rows"),
+                   F.count_if(bad).alias("n_err"),
+                   F.collect_list(F.when(bad & (F.col("__erank") <= k),
+                                         F.struct(F.col("__erank").alias("r"), F.col(offset).alias("o"),
+                                                  F.col("__pos").alias("p")))).alias("firsts")))
+    before = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    b = blocks.select(*keys, "n_rows", "n_err", "firsts",
+                      F.coalesce(F.sum("n_err").over(before), F.lit(0)).alias("err_before"),
+                      F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("rows_before"))
+    is_stop = (F.col("err_before") < k) & (F.col("err_before") + F.col("n_err") >= k)
+    hit = F.element_at(F.filter("firsts", lambda x: x["r"] == F.lit(k) - F.col("err_before")), 1)
+    per = b.select(*keys, "n_rows", "n_err",
+                   F.when(is_stop, hit["o"]).alias("stop_offset"),
+                   F.when(is_stop, F.col("rows_before") + hit["p"]).alias("rows_at_stop"))
+    return (per.groupBy(*keys)
             .agg(F.max("stop_offset").alias("stop_offset"),
-                 F.count(F.lit(1)).alias("rows_sent"),
-                 F.count_if(~F.col("is_valid")).alias("errors_seen")))
+                 F.coalesce(F.max("rows_at_stop"), F.sum("n_rows")).cast("bigint").alias("rows_sent"),
+                 F.least(F.lit(k).cast("bigint"), F.sum("n_err")).cast("bigint").alias("errors_seen")))
