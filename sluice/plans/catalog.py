@@ -347,3 +347,54 @@ QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
+
+
+# -- streaming forms ---------------------------------------------------------------
+
+def _stage_input(spark, df: DataFrame, name: str) -> str:
+    """Write a derived input under the shared checkpoint folder so a file
+    stream can read it (each call gets a fresh folder)."""
+    import uuid
+
+    from sluice.session import checkpoint_path
+    path = checkpoint_path(spark, "inputs", f"{name}-{uuid.uuid4().hex[:10]}")
+    df.write.parquet(path)
+    return path
+
+
+def q_stream_land(spark, sf):
+    """Log records landed by the streaming job (availableNow): the same rows
+    as the batch split, each exactly once."""
+    import uuid
+
+    from sluice.session import checkpoint_path
+    from sluice.sources.log_source import file_stream
+    from sluice.streaming import landing as sl
+    src = _stage_input(spark, fx.log_records_bad(spark, sf), "log_records_bad")
+    run = checkpoint_path(spark, "stream_land", uuid.uuid4().hex[:10])
+    q, _ = sl.start_landing(file_stream(spark, src, max_files_per_trigger=2), USERS, run + "/landed",
+                            run + "/errors", checkpoint=run + "/ckpt", trigger={"availableNow": True},
+                            text_fixes=FIXES)
+    q.awaitTermination()
+    return _users_out(sl.read_landed(spark, run + "/landed")
+                      .select(*META, *USERS.names))
+
+
+def q_stream_dedup(spark, sf):
+    """Streaming de-dup of re-delivered records within a 10-minute watermark."""
+    import uuid
+
+    from sluice.session import checkpoint_path
+    from sluice.sources.log_source import file_stream
+    from sluice.streaming.ops import dedup_within_watermark
+    src = _stage_input(spark, fx.log_records_dup(spark, sf), "log_records_dup")
+    run = checkpoint_path(spark, "stream_dedup", uuid.uuid4().hex[:10])
+    out = dedup_within_watermark(file_stream(spark, src), delay="10 minutes")
+    q = (out.writeStream.format("parquet").option("checkpointLocation", run + "/ckpt")
+         .option("path", run + "/out").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(run + "/out").select("topic", "partition", "offset", "key", "timestamp")
+
+
+QUERIES["stream_land"] = q_stream_land
+QUERIES["stream_dedup"] = q_stream_dedup

@@ -527,4 +527,9 @@ FROM channel_status""", "channel_status"),
 SELECT tower, round(avg(drop_rate_fc), 6) AS avg_drop_rate_fc, round(sum(data_usage_fc), 4) AS total_usage_fc,
        round(avg(drop_rate_fc), 6) > {CRITICAL_DROP_RATE} AS critical
 FROM fc GROUP BY tower""", "fc"),
+    "stream_land": with_ctes("SELECT topic, \"partition\", \"offset\", " + ", ".join(
+        f"CAST({c} AS DOUBLE) AS {c}" if c == "order_amount" else c for c, _, _ in USERS_DECLARED)
+        + " FROM bad_validated WHERE len(reasons) = 0", "bad_validated"),
+    "stream_dedup": with_ctes("""
+SELECT DISTINCT topic, "partition", "offset", "key", "timestamp" FROM log_records_dup""", "log_records_dup"),
 }
