@@ -28,9 +28,18 @@ def keep_first(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] =
 def drop_duplicated_keys(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """The literal post-migration DELETE: every row of a key that occurs more
     than once is removed, originals included. Offered for parity; it loses
-    data, so :func:`keep_first` is the default."""
+    data, so :func:`keep_first` is the default.
+
+    Rows with a NULL in the key never match the tuple ``IN`` of the
+    reference statement (it is null-unsafe and guarded by ``IS NOT NULL``),
+    so they are kept as they are.
+    """
     rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys)
+    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    # one pass: a row with a NULL key gets a unique extra grouping key, so it
+    # is a group of one and survives
+    single = F.when(has_null, F.monotonically_increasing_id())
+    return (df.groupBy(*keys, single.alias("__single"))
             .agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*rest)).alias("__row"))
             .where(F.col("__n") == 1)
             .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))

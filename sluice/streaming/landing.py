@@ -137,7 +137,7 @@ def start_landing(stream: DataFrame, spec: TableSpec, target: str, errors: str,
 
 def fresh_checkpoint(spark: SparkSession, name: str) -> str:
     """Restart a channel from scratch: a new checkpoint folder (new run id)."""
-    stamp = _dt.datetime.utcnow().strftime("%Y%m%dT%H%M%S")
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     return checkpoint_path(spark, "landing", f"{name}-{stamp}-{uuid.uuid4().hex[:8]}")
 
 

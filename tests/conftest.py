@@ -12,7 +12,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", shuffle_partitions=8, app_name="sluice-tests")
+    import tempfile
+    wh = tempfile.mkdtemp(prefix="sluice-wh-", dir="/tmp")
+    s = build_session(master="local[4]", shuffle_partitions=8, app_name="sluice-tests",
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
