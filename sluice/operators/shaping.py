@@ -53,7 +53,7 @@ def mask_columns(df: DataFrame, policies: dict[str, str]) -> DataFrame:
 
 # -- P7 / P8 / P9 ---------------------------------------------------------------
 
-METADATA_FIELDS = ("topic", "partition", "offset", "CreateTime", "SnowflakeConnectorPushTime",
+METADATA_FIELDS = ("topic", "partition", "offset", "CreateTime", "ConnectorPushTime",
                    "key", "headers")
 
 
@@ -73,7 +73,7 @@ def record_metadata(all_fields: bool = True, topic: bool = True, offset_and_part
         fields.append(F.col("offset").alias("offset"))
     fields.append(F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
                                    F.col(create_time)).alias("CreateTime"))
-    fields.append(F.col(push_time).alias("SnowflakeConnectorPushTime"))
+    fields.append(F.col(push_time).alias("ConnectorPushTime"))
     fields.append(F.col("key").alias("key"))
     if headers is not None:
         fields.append(F.col(headers).alias("headers"))

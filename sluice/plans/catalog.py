@@ -130,7 +130,7 @@ def q_record_metadata(spark, sf):
     m = shaping.with_record_metadata(fx.log_records(spark, sf))
     return m.select(*[F.col(f"record_metadata.{f}").alias(a) for f, a in (
         ("topic", "meta_topic"), ("partition", "meta_partition"), ("offset", "meta_offset"),
-        ("CreateTime", "meta_create_time"), ("SnowflakeConnectorPushTime", "meta_push_time"),
+        ("CreateTime", "meta_create_time"), ("ConnectorPushTime", "meta_push_time"),
         ("key", "meta_key"))])
 
 

@@ -44,7 +44,7 @@ def test_fan_out_one_partitioned_write(spark):
 def test_metadata_switches(spark):
     df = log_df(spark, [("t", 3, 7, "{}")])
     full = shaping.with_record_metadata(df).select("record_metadata.*")
-    assert full.columns == ["topic", "partition", "offset", "CreateTime", "SnowflakeConnectorPushTime", "key"]
+    assert full.columns == ["topic", "partition", "offset", "CreateTime", "ConnectorPushTime", "key"]
     assert full.first().partition == "3"
     no_topic = shaping.with_record_metadata(df, topic=False).select("record_metadata.*")
     assert "topic" not in no_topic.columns
