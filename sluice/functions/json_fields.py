@@ -28,6 +28,25 @@ def pick(m: Column, name: str) -> Column:
     return F.try_element_at(F.transform(hits, lambda e: e["value"]), F.lit(-1))
 
 
+def lower_keys(m: Column) -> Column:
+    """``m`` with lower-cased keys, or NULL when two keys differ only by case.
+
+    The common case (no such collision) becomes a plain map, so each column is
+    then one codegen'd lookup instead of a lambda over all entries; the rare
+    payloads with colliding keys keep the last-wins rule through :func:`pick`.
+    """
+    lk = F.transform(F.map_keys(m), lambda k: F.lower(k))
+    return F.when(F.size(F.array_distinct(lk)) == F.size(lk),
+                  F.map_from_arrays(lk, F.map_values(m)))
+
+
+def pick_fast(m: Column, lowered: Column, name: str) -> Column:
+    """:func:`pick` that uses the lower-cased map from :func:`lower_keys`
+    when there is one."""
+    return F.when(lowered.isNotNull(), F.try_element_at(lowered, F.lit(name.lower()))) \
+            .otherwise(pick(m, name))
+
+
 def has_key(m: Column, name: str) -> Column:
     lname = name.lower()
     return F.exists(F.map_keys(m), lambda k: F.lower(k) == F.lit(lname))

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import casts
-from sluice.functions.json_fields import parse_object, pick, unknown_keys
+from sluice.functions.json_fields import lower_keys, parse_object, pick_fast, unknown_keys
 from sluice.functions.timefn import lit_ntz
 from sluice.operators.spec import TableSpec
 
 PAYLOAD = "__payload"
+LOWERED = "__lowered"
 
 
 # -- P1 / V11 ---------------------------------------------------------------
@@ -58,9 +59,15 @@ def malformed_classes(df: DataFrame, value: str = "value") -> DataFrame:
 
 # -- P2 / P13 / V10 ----------------------------------------------------------
 
+def with_lowered(df: DataFrame) -> DataFrame:
+    return df.withColumn(LOWERED, lower_keys(F.col(PAYLOAD)))
+
+
 def raw_fields(df: DataFrame, spec: TableSpec) -> list[Column]:
-    """The payload text of every declared column, matched case-insensitively."""
-    return [pick(F.col(PAYLOAD), c.name).alias(f"__raw_{c.name}") for c in spec.columns]
+    """The payload text of every declared column, matched case-insensitively
+    (needs the columns added by :func:`with_payload` and :func:`with_lowered`)."""
+    return [pick_fast(F.col(PAYLOAD), F.col(LOWERED), c.name).alias(f"__raw_{c.name}")
+            for c in spec.columns]
 
 
 def typed(spec: TableSpec, text_fixes: dict[str, Column] | None = None) -> list[Column]:
@@ -83,7 +90,7 @@ def land_by_name(df: DataFrame, spec: TableSpec, as_of: str | _dt.datetime | Non
                  value: str = "value") -> DataFrame:
     """MATCH_BY_COLUMN_NAME landing: extra keys are ignored, missing keys and
     explicit nulls land as NULL; ``ingestion_time`` defaults to ``as_of``."""
-    d = with_payload(df, value)
+    d = with_lowered(with_payload(df, value))
     d = d.select(*keep, *raw_fields(d, spec))
     cols = [*keep, *typed(spec, text_fixes)]
     if as_of is not None:
@@ -129,7 +136,7 @@ def fence(df: DataFrame) -> DataFrame:
 def validate(df: DataFrame, spec: TableSpec, keep: Sequence[str] = (),
              value: str = "value", text_fixes: dict | None = None) -> DataFrame:
     """Land by name and attach ``error_reasons`` (array) and ``is_valid``."""
-    d = with_payload(df, value)
+    d = with_lowered(with_payload(df, value))
     d = d.select(*keep, value, PAYLOAD, *raw_fields(d, spec))
     d = d.select("*", *typed(spec, text_fixes))
     reasons = F.filter(F.array(*reason_columns(spec, value)), lambda x: x.isNotNull())
