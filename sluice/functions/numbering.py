@@ -25,6 +25,13 @@ _BLOCK = "__blk"
 _BASE = "__base"
 
 
+def _fence(df: DataFrame) -> DataFrame:
+    """Keep both consumers of ``df`` on one identical exchange: column
+    pruning and filters stop at the generator, so the subtree below stays the
+    same for both and Spark reuses the exchange instead of recomputing it."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -61,7 +68,10 @@ def running_total(df: DataFrame, order_by: str, value: str, block: Column,
     ``order_by``.
     """
     keys = list(partition_by)
-    d = df.withColumn(_BLOCK, block)
+    # One hash exchange by (keys, block) feeds both the block totals and the
+    # per-block windows, so the (often expensive) input is computed once and
+    # neither step shuffles again.
+    d = _fence(df.withColumn(_BLOCK, block).repartition(*keys, _BLOCK))
     totals = d.groupBy(*keys, _BLOCK).agg(F.sum(value).alias("__s"))
     w_blocks = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(
         Window.unboundedPreceding, -1)
