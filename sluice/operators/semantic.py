@@ -136,20 +136,23 @@ def users_view() -> SemanticView:
          ("age bracket", "age range", "age decade", "demographic"), "Age group bucket for the user"),
     ]
     v.dimensions = {n: Item(n, e, s, c) for n, e, s, c in dims}
-    amt = F.col("order_amount")
+
+    def amt():
+        return F.col("order_amount")
+
     # Metric names, synonyms and comments of the view.
     mets = [
         ("total_users", lambda ctx: F.count("user_id"),
          ("user count", "number of users", "registrations", "how many users"),
          "Total number of registered users"),
-        ("total_revenue", lambda ctx: F.sum(amt).cast("double"),
+        ("total_revenue", lambda ctx: F.sum(amt()).cast("double"),
          ("total sales", "total orders", "revenue", "sales", "income"), "Total revenue from all orders"),
-        ("avg_order_value", lambda ctx: F.round(F.avg(amt).cast("double"), 4),
+        ("avg_order_value", lambda ctx: F.round(F.avg(amt()).cast("double"), 4),
          ("average order", "average spend", "avg order size", "mean order"),
          "Average order amount per user"),
-        ("max_order", lambda ctx: F.max(amt).cast("double"),
+        ("max_order", lambda ctx: F.max(amt()).cast("double"),
          ("largest order", "biggest order", "highest order"), "Largest single order amount"),
-        ("min_order", lambda ctx: F.min(amt).cast("double"),
+        ("min_order", lambda ctx: F.min(amt()).cast("double"),
          ("smallest order", "lowest order"), "Smallest single order amount"),
         ("unique_countries", lambda ctx: F.count_distinct("country"),
          ("number of countries", "country count", "how many countries"),
