@@ -398,3 +398,31 @@ def q_stream_dedup(spark, sf):
 
 QUERIES["stream_land"] = q_stream_land
 QUERIES["stream_dedup"] = q_stream_dedup
+
+
+def q_semantic_headline(spark, sf):
+    """The first showcase query: total users, revenue and average order."""
+    return users_view().query(users(spark, sf), [], ["users.total_users", "users.total_revenue",
+                                                     "users.avg_order_value"], as_of=AS_OF_DATE)
+
+
+def q_stream_dashboard(spark, sf):
+    """Dashboard figures maintained by a streaming aggregation over the
+    landed stream (complete mode, memory sink)."""
+    import uuid
+
+    from sluice.session import checkpoint_path
+    from sluice.sources.log_source import file_stream
+    from sluice.streaming.dashboard import start_live_dashboard
+    src = _stage_input(spark, fx.log_records(spark, sf), "log_records")
+    landed = landing.land_by_name(file_stream(spark, src, max_files_per_trigger=2), USERS,
+                                  as_of=AS_OF, text_fixes=FIXES)
+    name = f"live_dashboard_{uuid.uuid4().hex[:8]}"
+    q = start_live_dashboard(landed, name, checkpoint_path(spark, "dashboard", name),
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.table(name)
+
+
+QUERIES["semantic_headline"] = q_semantic_headline
+QUERIES["stream_dashboard"] = q_stream_dashboard

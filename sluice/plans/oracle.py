@@ -532,4 +532,12 @@ FROM fc GROUP BY tower""", "fc"),
         + " FROM bad_validated WHERE len(reasons) = 0", "bad_validated"),
     "stream_dedup": with_ctes("""
 SELECT DISTINCT topic, "partition", "offset", "key", "timestamp" FROM log_records_dup""", "log_records_dup"),
+    "semantic_headline": with_ctes("""
+SELECT count(user_id) AS total_users, CAST(sum(order_amount) AS DOUBLE) AS total_revenue,
+       round(CAST(avg(order_amount) AS DOUBLE), 4) AS avg_order_value
+FROM users_landed""", "users_landed"),
+    "stream_dashboard": with_ctes("""
+SELECT count(*) AS total_rows, CAST(COALESCE(sum(order_amount), 0) AS DOUBLE) AS total_revenue,
+       max(user_id) AS latest_id, count(DISTINCT country) AS unique_countries
+FROM users_landed""", "users_landed"),
 }
