@@ -2,7 +2,6 @@
 import datetime as dt
 import tempfile
 
-from pyspark.sql import functions as F
 
 from conftest import log_df
 from sluice.operators import landing
