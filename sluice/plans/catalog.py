@@ -23,7 +23,7 @@ from sluice.tables import read_table
 AS_OF = "2024-02-01 00:00:00"
 AS_OF_DATE = "2024-02-01"
 WAIT_START = "2024-01-10 00:00:00"
-WAIT_TIMEOUT_HOURS = 6
+WAIT_TIMEOUT_HOURS = 2
 TOPIC_MAP = "signup_events:SIGNUPS,purchase_events:ORDERS,view_events:ORDERS,c.*_events:CLICKSTREAM"
 CRITICAL_DROP_RATE = 0.2
 ERROR_CAP = 5
