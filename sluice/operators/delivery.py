@@ -25,11 +25,12 @@ def committed_offsets(landed: DataFrame, keys: Sequence[str] = ("topic", "partit
 
 def advanced_commits(status: DataFrame, channel: str = "channel", ts: str = "poll_ts",
                      token: str = "committed_token") -> DataFrame:
-    """Emit a commit only when the committed token changed since the previous
-    poll and is not NULL; the commit offset is token + 1 (NULL if the token is
-    not numeric)."""
-    w = Window.partitionBy(channel).orderBy(ts)
-    prev = F.lag(token).over(w)
+    """Emit a commit only when the committed token is not NULL and differs
+    from the last token committed before (polls with a NULL token commit
+    nothing and do not reset it); the commit offset is token + 1 (NULL if
+    the token is not numeric)."""
+    earlier = Window.partitionBy(channel).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.last(token, ignorenulls=True).over(earlier)
     return (status.select(channel, ts, token, prev.alias("__prev"))
             .where(F.col(token).isNotNull() & ~F.col(token).eqNullSafe(F.col("__prev")))
             .select(channel, ts, token,

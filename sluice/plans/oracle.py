@@ -299,7 +299,9 @@ SELECT topic, "partition", CAST(max("offset") + 1 AS BIGINT) AS next_offset, cou
 FROM log_src GROUP BY topic, "partition\"""", "log_src"),
     "advanced_commits": with_ctes(f"""
 SELECT channel, poll_ts, committed_token, {SAFE_TOKEN} + 1 AS commit_offset
-FROM (SELECT *, lag(committed_token) OVER (PARTITION BY channel ORDER BY poll_ts) AS prev FROM channel_status)
+FROM (SELECT *, last_value(committed_token IGNORE NULLS) OVER (
+        PARTITION BY channel ORDER BY poll_ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+      FROM channel_status)
 WHERE committed_token IS NOT NULL AND committed_token IS DISTINCT FROM prev""", "channel_status"),
     "resume_from_committed": with_ctes("""
 SELECT topic, "partition", min("offset") AS resume_offset, count(*) AS pending_rows, max(committed) AS committed

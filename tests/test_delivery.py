@@ -40,6 +40,13 @@ def test_commit_only_when_token_advanced(spark):
     assert got == [("5", 6), ("6", 7), ("abc", None)]
 
 
+def test_null_token_does_not_reset_last_commit(spark):
+    st = spark.createDataFrame([("c", 1, "5"), ("c", 2, None), ("c", 3, "5"), ("c", 4, "6")],
+                               "channel string, poll_ts int, committed_token string")
+    got = [r.committed_token for r in delivery.advanced_commits(st).orderBy("poll_ts").collect()]
+    assert got == ["5", "6"]
+
+
 def test_redelivery_keep_first_and_literal_delete(spark):
     df = spark.createDataFrame(
         [("t", 0, 1, 100, "a"), ("t", 0, 1, 200, "b"), ("t", 0, 2, 100, "c")],
