@@ -20,6 +20,7 @@ DOUBLE_SHAPE = r"^[+-]?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 DATE_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
 BOOLEAN_SHAPE = r"^(true|false)$"
+TIMESTAMP_Z_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?Z$"
 
 
 def _guarded(text: Column, shape: str, type_name: str) -> Column:
@@ -50,6 +51,28 @@ def to_timestamp_ntz(text: Column) -> Column:
     return _guarded(text, TIMESTAMP_SHAPE, "timestamp_ntz")
 
 
+def to_timestamp_any(text: Column) -> Column:
+    """One normaliser for the three client forms of a row time:
+
+    * ISO text without zone (``2024-01-01T00:00:07.179575``), taken as UTC;
+    * ISO text in UTC with ``Z`` (``2024-01-01T00:00:07.179Z``);
+    * epoch seconds as a number (``1704067207.179575``, also in the exponent
+      form Spark's JSON map parser gives doubles, ``1.704067207179575E9``),
+      rounded to the microsecond through an exact decimal.
+
+    The result is TIMESTAMP_NTZ (UTC wall clock) and does not depend on the
+    session time zone.
+    """
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    micros = F.round(text.try_cast("decimal(30,9)") * F.lit(1000000)).cast("long")
+    return F.coalesce(
+        to_timestamp_ntz(text),
+        F.when(text.rlike(TIMESTAMP_Z_SHAPE),
+               F.regexp_replace(text, "Z$", "").try_cast("timestamp_ntz")),
+        F.when(text.rlike(DOUBLE_SHAPE), F.timestamp_add("MICROSECOND", micros, epoch)),
+    )
+
+
 def to_boolean(text: Column) -> Column:
     return _guarded(F.lower(text), BOOLEAN_SHAPE, "boolean")
 
@@ -69,6 +92,8 @@ def cast_text(text: Column, type_name: str) -> Column:
         return to_date(text)
     if t in ("timestamp", "timestamp_ntz"):
         return to_timestamp_ntz(text)
+    if t == "timestamp_auto":
+        return to_timestamp_any(text)
     if t == "boolean":
         return to_boolean(text)
     if t in ("string", "varchar", "text") or t.startswith("varchar"):

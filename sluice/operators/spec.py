@@ -21,7 +21,7 @@ class ColumnSpec:
             return "decimal"
         if t in ("bigint", "long", "int", "integer"):
             return "bigint"
-        if t in ("timestamp", "timestamp_ntz"):
+        if t in ("timestamp", "timestamp_ntz", "timestamp_auto"):
             return "timestamp"
         return t
 
@@ -42,7 +42,8 @@ class TableSpec:
         fields = []
         for c in self.columns + self.extra_columns:
             meta = {"comment": c.comment} if c.comment else {}
-            fields.append(T.StructField(c.name, T._parse_datatype_string(c.type), True, meta))
+            t = "timestamp_ntz" if c.type == "timestamp_auto" else c.type
+            fields.append(T.StructField(c.name, T._parse_datatype_string(t), True, meta))
         return T.StructType(fields)
 
     @staticmethod

@@ -426,3 +426,24 @@ def q_stream_dashboard(spark, sf):
 
 QUERIES["semantic_headline"] = q_semantic_headline
 QUERIES["stream_dashboard"] = q_stream_dashboard
+
+
+COUNTER = TableSpec.from_tuples("counter", fx.COUNTER_DECLARED)
+
+
+def q_counter_landing(spark, sf):
+    """The row producers' example: rows landed with their offset token, the
+    row time normalised from the three client forms."""
+    landed = landing.land_by_name(fx.counter_records(spark, sf), COUNTER, keep=("offset",))
+    return landed.select("c1", "c2", "ts", F.col("offset").cast("string").alias("offset_token"))
+
+
+def q_counter_status(spark, sf):
+    """Channel status at the end of the example run: latest committed token,
+    rows inserted, rows in error."""
+    v = landing.validate(fx.counter_records(spark, sf), COUNTER, keep=META)
+    return monitor.status_rollup(v, shaping.channel_name(F.lit("COUNTER_CHANNEL"), F.col("partition")))
+
+
+QUERIES["counter_landing"] = q_counter_landing
+QUERIES["counter_status"] = q_counter_status

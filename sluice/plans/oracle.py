@@ -542,4 +542,14 @@ FROM users_landed""", "users_landed"),
 SELECT count(*) AS total_rows, CAST(COALESCE(sum(order_amount), 0) AS DOUBLE) AS total_revenue,
        max(user_id) AS latest_id, count(DISTINCT country) AS unique_countries
 FROM users_landed""", "users_landed"),
+    "counter_landing": """
+SELECT event_id AS c1, CAST(event_id AS VARCHAR) AS c2,
+       CASE WHEN event_id % 3 = 2 THEN date_trunc('millisecond', ts) ELSE ts END AS ts,
+       CAST(event_id AS VARCHAR) AS offset_token
+FROM events""",
+    "counter_status": """
+SELECT 'COUNTER_CHANNEL_P0' AS channel, count(*) AS rows_inserted_count, CAST(0 AS BIGINT) AS rows_error_count,
+       CAST(NULL AS VARCHAR) AS last_error_message, CAST(NULL AS VARCHAR) AS last_error_offset_token_upper_bound,
+       CAST(max(event_id) AS VARCHAR) AS latest_offset_token
+FROM events""",
 }

@@ -251,3 +251,29 @@ def tower_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("tower", "day", "call_volume", "dropped_calls",
                     (F.col("dropped_calls") / F.col("call_volume")).alias("drop_rate"),
                     "data_usage_mb"))
+
+
+# The example channel of the row producers: c1 = row index, c2 = its text,
+# ts = row time; offset token = text of the index.
+COUNTER_DECLARED = [("c1", "bigint", None), ("c2", "string", None), ("ts", "timestamp_auto", None)]
+
+
+def counter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per event in a single channel (topic ``counter``, partition
+    0 -- every row in one hot partition). ``ts`` comes in the three client
+    forms by ``event_id % 3``: epoch seconds as a JSON number (0), naive ISO
+    text with microseconds (1), UTC ISO text with milliseconds and ``Z`` (2)."""
+    e = read_table(spark, sf_dir, "events")
+    us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
+    secs = F.concat(_s(F.expr("div(__us, 1000000)")), F.lit("."), F.lpad(_s(F.col("__us") % 1000000), 6, "0"))
+    iso6 = F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('"'))
+    iso3 = F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit('Z"'))
+    form = F.col("event_id") % 3
+    ts_json = F.when(form == 0, secs).when(form == 1, iso6).otherwise(iso3)
+    value = F.concat(F.lit('{"c1":'), _s(F.col("event_id")), F.lit(',"c2":"'), _s(F.col("event_id")),
+                     F.lit('","ts":'), ts_json, F.lit("}"))
+    return (e.withColumn("__us", us)
+            .select(F.lit("counter").alias("topic"), F.lit(0).alias("partition"),
+                    F.col("event_id").alias("offset"), F.lit(None).cast("string").alias("key"),
+                    value.alias("value"), F.col("ts").alias("timestamp"),
+                    (F.col("__us") / 1000).cast("long").alias("push_time")))

@@ -63,3 +63,20 @@ def test_large_json_numbers_land_as_decimal(spark):
     out = landing.validate(df, spec, keep=("offset",)).orderBy("offset").collect()
     assert float(out[0].amt) == 12345678.9 and out[0].is_valid
     assert float(out[1].amt) == 0.0 and out[1].is_valid
+
+
+def test_three_client_time_forms(spark):
+    from sluice.functions.casts import to_timestamp_any
+    vals = ["2024-01-01T00:00:07.179575", "2024-01-01T00:00:07.179Z", "1704067207.179575",
+            "1.704067207179575E9", "2024-01-01 00:00:07", "INVALID_TS", "2026"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = spark.createDataFrame([(v,) for v in vals], "t string")
+        got = [str(r.x) if r.x else None for r in df.select(to_timestamp_any(F.col("t")).alias("x")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[:5] == ["2024-01-01 00:00:07.179575", "2024-01-01 00:00:07.179000", "2024-01-01 00:00:07.179575",
+                       "2024-01-01 00:00:07.179575", "2024-01-01 00:00:07"]
+    assert got[5] is None
+    assert got[6] == "1970-01-01 00:33:46"   # a bare number is epoch seconds
