@@ -164,3 +164,32 @@ def users_view() -> SemanticView:
     ]
     v.metrics = {n: Item(n, e, s, c) for n, e, s, c in mets}
     return v
+
+
+def cdr_view() -> SemanticView:
+    """A view over landed call detail records (for tower questions)."""
+    v = SemanticView(table="calls", key="record_id", synonyms=("cdr", "call records"),
+                     comment="Call detail records landed from the log")
+    v.facts = {"duration_seconds": Item("duration_seconds", _col("duration_seconds")),
+               "data_usage_mb": Item("data_usage_mb", _col("data_usage_mb"))}
+    # Dimension and metric names and synonyms of the view.
+    dims = [
+        ("cell_tower_id", _col("cell_tower_id"), ("tower", "cell tower"), "Cell tower that carried the call"),
+        ("call_type", _col("call_type"), ("type of call",), "VOICE, SMS, DATA, MMS or VOICEMAIL"),
+        ("network_type", _col("network_type"), ("network",), "Radio network of the call"),
+        ("plan_type", _col("plan_type"), ("plan",), "Subscriber plan"),
+        ("call_day", lambda ctx: F.to_date("call_start"), ("day",), "Day the call started"),
+    ]
+    v.dimensions = {n: Item(n, e, s, c) for n, e, s, c in dims}
+    mets = [
+        ("total_calls", lambda ctx: F.count("record_id"), ("call volume", "number of calls"),
+         "Number of calls"),
+        ("dropped_calls", lambda ctx: F.count_if(F.col("disposition") == "DROPPED"), ("drops",),
+         "Calls that dropped"),
+        ("drop_rate", lambda ctx: F.round(F.avg((F.col("disposition") == "DROPPED").cast("double")), 6),
+         ("call drop rate", "failure rate"), "Share of calls that dropped"),
+        ("total_data_usage_mb", lambda ctx: F.round(F.sum("data_usage_mb"), 4),
+         ("data usage", "bandwidth"), "Data used, in MB"),
+    ]
+    v.metrics = {n: Item(n, e, s, c) for n, e, s, c in mets}
+    return v

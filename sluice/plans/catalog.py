@@ -447,3 +447,47 @@ def q_counter_status(spark, sf):
 
 QUERIES["counter_landing"] = q_counter_landing
 QUERIES["counter_status"] = q_counter_status
+
+
+CDR = TableSpec.from_tuples("call_detail_records", fx.CDR_DECLARED)
+
+
+def cdrs(spark, sf) -> DataFrame:
+    return landing.land_by_name(fx.cdr_records(spark, sf), CDR)
+
+
+def q_cdr_landing(spark, sf):
+    """Call detail records landed by name, with text times parsed."""
+    return cdrs(spark, sf).withColumn("charge_amount", F.col("charge_amount").cast("double"))
+
+
+def _cdr_daily(spark, sf):
+    c = cdrs(spark, sf)
+    return (c.groupBy(F.col("cell_tower_id").alias("tower"), F.to_date("call_start").alias("day"))
+            .agg(F.count(F.lit(1)).alias("call_volume"),
+                 F.count_if(F.col("disposition") == "DROPPED").alias("dropped_calls"),
+                 F.sum("data_usage_mb").alias("data_usage_mb"))
+            .withColumn("drop_rate", F.col("dropped_calls") / F.col("call_volume")))
+
+
+def q_cdr_tower_daily(spark, sf):
+    """Per-tower daily features from the landed records: the forecast's inputs."""
+    return _cdr_daily(spark, sf).select("tower", "day", "call_volume", "dropped_calls",
+                                        F.round("drop_rate", 6).alias("drop_rate"),
+                                        F.round("data_usage_mb", 4).alias("data_usage_mb"))
+
+
+def q_cdr_tower_forecast(spark, sf):
+    return forecast.forecast(_cdr_daily(spark, sf), 7)
+
+
+def q_cdr_semantic_by_tower(spark, sf):
+    from sluice.operators.semantic import cdr_view
+    return cdr_view().query(cdrs(spark, sf), ["tower"], ["call volume", "call drop rate", "data usage"],
+                            order_by=[F.desc("drop_rate"), "cell_tower_id"])
+
+
+QUERIES["cdr_landing"] = q_cdr_landing
+QUERIES["cdr_tower_daily"] = q_cdr_tower_daily
+QUERIES["cdr_tower_forecast"] = q_cdr_tower_forecast
+QUERIES["cdr_semantic_by_tower"] = q_cdr_semantic_by_tower

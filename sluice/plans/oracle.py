@@ -553,3 +553,60 @@ SELECT 'COUNTER_CHANNEL_P0' AS channel, count(*) AS rows_inserted_count, CAST(0
        CAST(max(event_id) AS VARCHAR) AS latest_offset_token
 FROM events""",
 }
+
+
+def _lst(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _register_cdr() -> None:
+    from sluice.sources.fixtures import AREA_CODES, CALL_TYPES, CELL_TOWERS, DISPOSITIONS, NETWORKS, PLANS
+    CTES["cdr_src"] = (f"""
+  SELECT event_id, ts, user_id, event_type, value,
+         '+1' || {_lst(AREA_CODES)}[user_id % 10 + 1] || lpad(CAST((user_id * 7919) % 10000000 AS VARCHAR), 7, '0')
+           AS caller_number,
+         '+1' || {_lst(AREA_CODES)}[event_id % 10 + 1] || lpad(CAST((event_id * 104729) % 10000000 AS VARCHAR), 7, '0')
+           AS callee_number,
+         {_lst(CALL_TYPES)}[event_id % 5 + 1] AS call_type,
+         CASE WHEN event_type = 'error' THEN 'DROPPED' ELSE {_lst(DISPOSITIONS)}[(event_id // 5) % 4 + 1] END
+           AS disposition,
+         date_trunc('second', ts) AS call_start,
+         {_lst(NETWORKS)}[user_id % 5 + 1] AS network_type,
+         {_lst(CELL_TOWERS)}[user_id % 12 + 1] AS cell_tower_id,
+         {_lst(PLANS)}[(user_id // 12) % 5 + 1] AS plan_type
+  FROM events""", ())
+    CTES["cdr_landed"] = ("""
+  SELECT event_id AS record_id, caller_number, callee_number, call_type, disposition, call_start,
+         call_start + to_seconds(dur) AS call_end, dur AS duration_seconds,
+         CASE WHEN call_type = 'DATA' THEN CAST(printf('%.2f', value) AS DOUBLE) ELSE 0.0 END AS data_usage_mb,
+         CAST(CAST((event_id % 1501) // 100 AS VARCHAR) || '.' || lpad(CAST(event_id % 1501 % 100 AS VARCHAR), 2, '0')
+              AS DECIMAL(10,2)) AS charge_amount,
+         network_type, cell_tower_id, plan_type, network_type = 'ROAMING' AS roaming, ts AS event_timestamp
+  FROM (SELECT *, CAST(CASE WHEN call_type IN ('VOICE', 'VOICEMAIL') AND disposition = 'ANSWERED'
+                            THEN 5 + (event_id * 37) % 3595 ELSE 0 END AS BIGINT) AS dur FROM cdr_src)""",
+                          ("cdr_src",))
+    CTES["cdr_daily"] = ("""
+  SELECT cell_tower_id AS tower, CAST(call_start AS DATE) AS day, count(*) AS call_volume,
+         count(*) FILTER (WHERE disposition = 'DROPPED') AS dropped_calls,
+         count(*) FILTER (WHERE disposition = 'DROPPED') / count(*) AS drop_rate,
+         sum(data_usage_mb) AS data_usage_mb
+  FROM cdr_landed GROUP BY 1, 2""", ("cdr_landed",))
+    CTES["cdr_fits"] = (CTES["fits"][0].replace("FROM tower_daily", "FROM cdr_daily"), ("cdr_daily",))
+    CTES["cdr_fc"] = (CTES["fc"][0].replace("FROM fits", "FROM cdr_fits"), ("cdr_fits",))
+    cols = ", ".join("CAST(charge_amount AS DOUBLE) AS charge_amount" if c == "charge_amount" else c
+                     for c in ("record_id", "caller_number", "callee_number", "call_type", "disposition",
+                               "call_start", "call_end", "duration_seconds", "data_usage_mb", "charge_amount",
+                               "network_type", "cell_tower_id", "plan_type", "roaming", "event_timestamp"))
+    SQL["cdr_landing"] = with_ctes(f"SELECT {cols} FROM cdr_landed", "cdr_landed")
+    SQL["cdr_tower_daily"] = with_ctes("""
+SELECT tower, day, call_volume, dropped_calls, round(drop_rate, 6) AS drop_rate,
+       round(data_usage_mb, 4) AS data_usage_mb FROM cdr_daily""", "cdr_daily")
+    SQL["cdr_tower_forecast"] = with_ctes("SELECT * FROM cdr_fc", "cdr_fc")
+    SQL["cdr_semantic_by_tower"] = with_ctes("""
+SELECT cell_tower_id, count(record_id) AS total_calls,
+       round(avg(CASE WHEN disposition = 'DROPPED' THEN 1.0 ELSE 0.0 END), 6) AS drop_rate,
+       round(sum(data_usage_mb), 4) AS total_data_usage_mb
+FROM cdr_landed GROUP BY cell_tower_id""", "cdr_landed")
+
+
+_register_cdr()

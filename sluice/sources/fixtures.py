@@ -277,3 +277,75 @@ def counter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("event_id").alias("offset"), F.lit(None).cast("string").alias("key"),
                     value.alias("value"), F.col("ts").alias("timestamp"),
                     (F.col("__us") / 1000).cast("long").alias("push_time")))
+
+
+# The value sets of the call detail records.
+AREA_CODES = ["212", "310", "415", "512", "617", "702", "808", "904", "303", "206"]
+CELL_TOWERS = ["LAX-001", "LAX-002", "NYC-010", "NYC-011", "SFO-005", "SFO-006",
+               "AUS-003", "SEA-007", "DEN-004", "MIA-008", "BOS-009", "LAS-012"]
+CALL_TYPES = ["VOICE", "SMS", "DATA", "MMS", "VOICEMAIL"]
+NETWORKS = ["4G", "5G", "3G", "WIFI", "ROAMING"]
+DISPOSITIONS = ["ANSWERED", "NO_ANSWER", "BUSY", "FAILED", "DROPPED"]
+PLANS = ["BASIC", "STANDARD", "PREMIUM", "UNLIMITED", "PREPAID"]
+
+CDR_DECLARED = [
+    ("record_id", "bigint", None), ("caller_number", "string", None), ("callee_number", "string", None),
+    ("call_type", "string", None), ("disposition", "string", None),
+    ("call_start", "timestamp_ntz", None), ("call_end", "timestamp_ntz", None),
+    ("duration_seconds", "bigint", None), ("data_usage_mb", "double", None),
+    ("charge_amount", "decimal(10,2)", None), ("network_type", "string", None),
+    ("cell_tower_id", "string", None), ("plan_type", "string", None), ("roaming", "boolean", None),
+    ("event_timestamp", "timestamp_auto", None),
+]
+
+
+def _pick_from(values: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+
+def cdr_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call detail records as JSON log records, one per event: the caller is
+    the record key, the partition ``user_id % 3``. Drops come from ``error``
+    events; times are ``yyyy-MM-dd HH:mm:ss`` text, the end derived from the
+    start plus the duration."""
+    e = read_table(spark, sf_dir, "events")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    phone = lambda area_idx, num: F.concat(
+        F.lit("+1"), _pick_from(AREA_CODES, area_idx % 10), F.lpad(_s(num % 10000000), 7, "0"))
+    d = e.select(
+        "event_id", "ts", "user_id",
+        phone(uid, uid * 7919).alias("caller"), phone(eid, eid * 104729).alias("callee"),
+        _pick_from(CALL_TYPES, eid % 5).alias("ct"),
+        F.when(F.col("event_type") == "error", F.lit("DROPPED"))
+         .otherwise(_pick_from(DISPOSITIONS, F.expr("div(event_id, 5)") % 4)).alias("disp"),
+        F.col("value"))
+    dur = F.when(F.col("ct").isin("VOICE", "VOICEMAIL") & (F.col("disp") == "ANSWERED"),
+                 5 + (F.col("event_id") * 37) % 3595).otherwise(F.lit(0))
+    d = d.withColumn("dur", dur.cast("long")).withColumn("start", trunc_ntz("second", F.col("ts")))
+    usage = F.when(F.col("ct") == "DATA", F.format_string("%.2f", F.col("value"))).otherwise(F.lit("0.0"))
+    cents = F.col("event_id") % 1501
+    charge = F.concat(_s(F.expr("div(event_id % 1501, 100)")), F.lit("."), F.lpad(_s(cents % 100), 2, "0"))
+    net = _pick_from(NETWORKS, F.col("user_id") % 5)
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    value = F.concat(
+        F.lit('{"record_id":'), _s(F.col("event_id")),
+        F.lit(',"caller_number":'), q(F.col("caller")),
+        F.lit(',"callee_number":'), q(F.col("callee")),
+        F.lit(',"call_type":'), q(F.col("ct")),
+        F.lit(',"disposition":'), q(F.col("disp")),
+        F.lit(',"call_start":'), q(F.date_format("start", "yyyy-MM-dd HH:mm:ss")),
+        F.lit(',"call_end":'), q(F.date_format(F.timestamp_add("SECOND", F.col("dur"), F.col("start")),
+                                               "yyyy-MM-dd HH:mm:ss")),
+        F.lit(',"duration_seconds":'), _s(F.col("dur")),
+        F.lit(',"data_usage_mb":'), usage,
+        F.lit(',"charge_amount":'), charge,
+        F.lit(',"network_type":'), q(net),
+        F.lit(',"cell_tower_id":'), q(_pick_from(CELL_TOWERS, F.col("user_id") % 12)),
+        F.lit(',"plan_type":'), q(_pick_from(PLANS, F.expr("div(user_id, 12)") % 5)),
+        F.lit(',"roaming":'), F.when(net == "ROAMING", F.lit("true")).otherwise(F.lit("false")),
+        F.lit(',"event_timestamp":'), q(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))),
+        F.lit("}"))
+    return d.select(F.lit("cdr").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"),
+                    F.col("event_id").alias("offset"), F.col("caller").alias("key"), value.alias("value"),
+                    F.col("ts").alias("timestamp"),
+                    epoch_millis(F.col("ts")).alias("push_time"))

@@ -55,3 +55,11 @@ def test_age_counts_year_boundaries(spark):
         "user_id", v.dimension("age", "2001-01-01").alias("age"),
         v.dimension("age_group", "2001-01-01").alias("g")).collect()}
     assert got[1] == (1, "18-24") and got[2] == (51, "45-54")
+
+
+def test_cdr_view_synonyms():
+    from sluice.operators.semantic import cdr_view
+    v = cdr_view()
+    assert v.resolve("tower") == "cell_tower_id"
+    assert v.resolve("call drop rate") == "drop_rate"
+    assert v.resolve("data usage") == "total_data_usage_mb"
