@@ -28,23 +28,34 @@ def pick(m: Column, name: str) -> Column:
     return F.try_element_at(F.transform(hits, lambda e: e["value"]), F.lit(-1))
 
 
-def lower_keys(m: Column) -> Column:
-    """``m`` with lower-cased keys, or NULL when two keys differ only by case.
+_SEP = "\u0000"
 
-    The common case (no such collision) becomes a plain map, so each column is
-    then one codegen'd lookup instead of a lambda over all entries; the rare
-    payloads with colliding keys keep the last-wins rule through :func:`pick`.
+
+def lowered_key_list(m: Column) -> Column:
+    """The keys of ``m``, lower-cased, in payload order.
+
+    One ``array_join`` / ``lower`` / ``split`` (all codegen'd) instead of a
+    lambda per key. A key that itself contains the separator (NUL) would
+    break the split; the sizes then differ and the JSON round trip (exact for
+    any key) is used instead.
     """
-    lk = F.transform(F.map_keys(m), lambda k: F.lower(k))
-    return F.when(F.size(F.array_distinct(lk)) == F.size(lk),
-                  F.map_from_arrays(lk, F.map_values(m)))
+    fast = F.split(F.lower(F.array_join(F.map_keys(m), _SEP)), _SEP)
+    exact = F.from_json(F.lower(F.to_json(F.map_keys(m))), "array<string>")
+    return (F.when(F.size(m) == 0, F.array().cast("array<string>"))
+            .when(F.size(fast) == F.size(m), fast)
+            .otherwise(exact))
+
+
+def position_of(reversed_keys: Column, name: str) -> Column:
+    """1-based position of ``name`` in the *reversed* lower-cased key list
+    (0 when absent): the first hit there is the last key in the payload."""
+    return F.array_position(reversed_keys, F.lit(name.lower()))
 
 
-def pick_fast(m: Column, lowered: Column, name: str) -> Column:
-    """:func:`pick` that uses the lower-cased map from :func:`lower_keys`
-    when there is one."""
-    return F.when(lowered.isNotNull(), F.try_element_at(lowered, F.lit(name.lower()))) \
-            .otherwise(pick(m, name))
+def value_at(m: Column, n_keys: Column, pos: Column) -> Column:
+    """The map value at payload position ``n_keys - pos + 1`` (NULL when
+    ``pos`` is 0). Maps from ``from_json`` keep payload order."""
+    return F.when(pos > 0, F.element_at(F.map_values(m), (n_keys - pos + 1).cast("int")))
 
 
 def has_key(m: Column, name: str) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import casts
-from sluice.functions.json_fields import lower_keys, parse_object, pick_fast, unknown_keys
+from sluice.functions.json_fields import (lowered_key_list, parse_object, position_of, unknown_keys,
+                                         value_at)
 from sluice.functions.timefn import lit_ntz
 from sluice.operators.spec import TableSpec
 
@@ -60,16 +61,34 @@ def malformed_classes(df: DataFrame, value: str = "value") -> DataFrame:
 # -- P2 / P13 / V10 ----------------------------------------------------------
 
 def with_lowered(df: DataFrame) -> DataFrame:
-    return df.withColumn(LOWERED, lower_keys(F.col(PAYLOAD)))
+    """Add the reversed, lower-cased key list of the payload and its size.
+
+    Case-insensitive matching then needs no lambdas: each declared column is
+    a position lookup in this list (first hit = last key in the payload, so
+    the last of keys differing by case wins) and an element access -- both
+    inside whole-stage codegen. The list is its own projection so that only
+    it is evaluated outside codegen.
+    """
+    return (df.withColumn(LOWERED, F.reverse(lowered_key_list(F.col(PAYLOAD))))
+              .withColumn("__n_keys", F.size(F.col(LOWERED))))
 
 
 def raw_fields(df: DataFrame, spec: TableSpec) -> list[Column]:
     """The payload text of every declared column, matched case-insensitively
-    (needs the columns added by :func:`with_payload` and :func:`with_lowered`)."""
-    return [pick_fast(F.col(PAYLOAD), F.col(LOWERED), c.name).alias(f"__raw_{c.name}")
+    (needs :func:`with_payload` and :func:`with_lowered` first)."""
+    return [value_at(F.col(PAYLOAD), F.col("__n_keys"), F.col(f"__pos_{c.name}")).alias(f"__raw_{c.name}")
             for c in spec.columns]
 
 
+def with_raw_fields(df: DataFrame, spec: TableSpec, keep: Sequence[str]) -> DataFrame:
+    """``keep``, the payload internals and each declared column's position in
+    the reversed key list (``df`` must already have the payload)."""
+    d = with_lowered(df)
+    cols = list(dict.fromkeys([*keep, PAYLOAD, LOWERED, "__n_keys"]))
+    return d.select(*cols, *[position_of(F.col(LOWERED), c.name).alias(f"__pos_{c.name}")
+                             for c in spec.columns])
+
+
 def typed(spec: TableSpec, text_fixes: dict[str, Column] | None = None) -> list[Column]:
     out = []
     for c in spec.columns:
@@ -90,7 +109,7 @@ def land_by_name(df: DataFrame, spec: TableSpec, as_of: str | _dt.datetime | Non
                  value: str = "value") -> DataFrame:
     """MATCH_BY_COLUMN_NAME landing: extra keys are ignored, missing keys and
     explicit nulls land as NULL; ``ingestion_time`` defaults to ``as_of``."""
-    d = with_lowered(with_payload(df, value))
+    d = with_raw_fields(with_payload(df, value), spec, keep)
     d = d.select(*keep, *raw_fields(d, spec))
     cols = [*keep, *typed(spec, text_fixes)]
     if as_of is not None:
@@ -136,10 +155,13 @@ def fence(df: DataFrame) -> DataFrame:
 def validate(df: DataFrame, spec: TableSpec, keep: Sequence[str] = (),
              value: str = "value", text_fixes: dict | None = None) -> DataFrame:
     """Land by name and attach ``error_reasons`` (array) and ``is_valid``."""
-    d = with_lowered(with_payload(df, value))
-    d = d.select(*keep, value, PAYLOAD, *raw_fields(d, spec))
+    keep_v = list(dict.fromkeys([*keep, value]))
+    d = with_raw_fields(with_payload(df, value), spec, keep_v)
+    d = d.select(*keep_v, PAYLOAD, *raw_fields(d, spec))
     d = d.select("*", *typed(spec, text_fixes))
-    reasons = F.filter(F.array(*reason_columns(spec, value)), lambda x: x.isNotNull())
+    # NULL-free reason list without a lambda (reasons are distinct strings,
+    # so the set difference keeps them all, in order)
+    reasons = F.array_except(F.array(*reason_columns(spec, value)), F.array(F.lit(None).cast("string")))
     out = d.withColumn("error_reasons", reasons)
     drop = [f"__raw_{c.name}" for c in spec.columns] + [PAYLOAD]
     return fence(out.withColumn("is_valid", F.size("error_reasons") == 0).drop(*drop))

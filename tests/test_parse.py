@@ -80,3 +80,8 @@ def test_three_client_time_forms(spark):
                        "2024-01-01 00:00:07.179575", "2024-01-01 00:00:07"]
     assert got[5] is None
     assert got[6] == "1970-01-01 00:33:46"   # a bare number is epoch seconds
+
+
+def test_key_with_separator_character_still_matches(spark):
+    got = _land(spark, ['{"a\\u0000b":1,"C1":2}', '{"C1":3,"x\\u0000":4,"c1":5}'])
+    assert [r[1] for r in got] == [2, 5]
