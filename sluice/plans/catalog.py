@@ -362,6 +362,16 @@ def _stage_input(spark, df: DataFrame, name: str) -> str:
     return path
 
 
+def _files_per_trigger(spark, path: str, batches: int = 4) -> int:
+    """Files per micro-batch so a staged input replays in about ``batches``
+    micro-batches whatever the number of files the write produced."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    n = sum(1 for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet"))
+    return max(1, -(-n // batches))
+
+
 def q_stream_land(spark, sf):
     """Log records landed by the streaming job (availableNow): the same rows
     as the batch split, each exactly once."""
@@ -372,7 +382,8 @@ def q_stream_land(spark, sf):
     from sluice.streaming import landing as sl
     src = _stage_input(spark, fx.log_records_bad(spark, sf), "log_records_bad")
     run = checkpoint_path(spark, "stream_land", uuid.uuid4().hex[:10])
-    q, _ = sl.start_landing(file_stream(spark, src, max_files_per_trigger=2), USERS, run + "/landed",
+    q, _ = sl.start_landing(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)),
+                            USERS, run + "/landed",
                             run + "/errors", checkpoint=run + "/ckpt", trigger={"availableNow": True},
                             text_fixes=FIXES)
     q.awaitTermination()
@@ -415,7 +426,8 @@ def q_stream_dashboard(spark, sf):
     from sluice.sources.log_source import file_stream
     from sluice.streaming.dashboard import start_live_dashboard
     src = _stage_input(spark, fx.log_records(spark, sf), "log_records")
-    landed = landing.land_by_name(file_stream(spark, src, max_files_per_trigger=2), USERS,
+    landed = landing.land_by_name(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)),
+                                  USERS,
                                   as_of=AS_OF, text_fixes=FIXES)
     name = f"live_dashboard_{uuid.uuid4().hex[:8]}"
     q = start_live_dashboard(landed, name, checkpoint_path(spark, "dashboard", name),
