@@ -61,11 +61,18 @@ class SemanticView:
 
     def query(self, df: DataFrame, dimensions: Sequence[str] = (), metrics: Sequence[str] = (),
               where: Column | None = None, order_by: Sequence[Column | str] = (),
-              limit: int | None = None, as_of: str | _dt.date = "2024-02-01") -> DataFrame:
+              limit: int | None = None, as_of: str | _dt.date = "2024-02-01",
+              filters: dict | None = None) -> DataFrame:
+        """``filters`` maps dimension names (or synonyms) to a value or a list
+        of values; ``where`` is any extra Column predicate."""
         ctx = {"as_of": as_of}
         dims = [self.resolve(d, "dimension") for d in dimensions]
         mets = [self.resolve(m, "metric") for m in metrics]
         base = df
+        for name, val in (filters or {}).items():
+            expr = self.dimensions[self.resolve(name, "dimension")].expr(ctx)
+            cond = expr.isin(list(val)) if isinstance(val, (list, tuple, set)) else expr == F.lit(val)
+            where = cond if where is None else (where & cond)
         if where is not None:
             # The filter reads derived columns: stop it above their derivation
             # so an expensive input (a JSON parse) is not re-evaluated inside

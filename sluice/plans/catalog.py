@@ -157,7 +157,7 @@ def q_age_groups(spark, sf):
 
 def q_semantic_filtered(spark, sf):
     return users_view().query(users(spark, sf), ["town"], ["user count", "revenue"],
-                              where=F.col("state") == "S7", as_of=AS_OF_DATE)
+                              filters={"province": "S7"}, as_of=AS_OF_DATE)
 
 
 def q_validate_types(spark, sf):
