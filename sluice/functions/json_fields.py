@@ -2,10 +2,14 @@
 
 ``from_json`` matches struct field names case-sensitively, while landing must
 match declared columns case-insensitively. Payloads are therefore parsed to a
-``map<string,string>`` once, and each declared column is picked from the map
-entries whose lower-cased key equals the column name (the last such entry
-wins; a missing key and an explicit null both give NULL). Nested values come
-out of the map as JSON text.
+``map<string,string>`` once (the map keeps every entry in payload order,
+repeated keys included), and a declared column takes the value of the *last*
+key equal to its name ignoring case; a missing key and an explicit null both
+give NULL. Nested values come out of the map as JSON text.
+
+Landing uses the lambda-free form (:func:`lowered_key_list`,
+:func:`position_of`, :func:`value_at`) so its projections stay in whole-stage
+codegen; :func:`pick` is the same rule as a single expression, for ad-hoc use.
 """
 from __future__ import annotations
 
@@ -22,7 +26,7 @@ def parse_object(value: Column) -> Column:
 
 
 def pick(m: Column, name: str) -> Column:
-    """Value of key ``name`` in map ``m``, compared case-insensitively."""
+    """Value of the last key of ``m`` equal to ``name`` ignoring case."""
     lname = name.lower()
     hits = F.filter(F.map_entries(m), lambda e: F.lower(e["key"]) == F.lit(lname))
     return F.try_element_at(F.transform(hits, lambda e: e["value"]), F.lit(-1))
@@ -58,18 +62,8 @@ def value_at(m: Column, n_keys: Column, pos: Column) -> Column:
     return F.when(pos > 0, F.element_at(F.map_values(m), (n_keys - pos + 1).cast("int")))
 
 
-def has_key(m: Column, name: str) -> Column:
-    lname = name.lower()
-    return F.exists(F.map_keys(m), lambda k: F.lower(k) == F.lit(lname))
-
-
 def unknown_keys(m: Column, declared: list[str]) -> Column:
     """Keys of ``m`` that match no declared column (case-insensitively), in
     payload order."""
     known = F.array(*[F.lit(c.lower()) for c in declared])
     return F.filter(F.map_keys(m), lambda k: ~F.array_contains(known, F.lower(k)))
-
-
-def path_get(variant: Column, path: str, type_name: str) -> Column:
-    """Typed value at a JSON path of a VARIANT (``$.a``, ``$['f n']``, ``$.p.c``)."""
-    return F.try_variant_get(variant, path, type_name)
