@@ -179,8 +179,8 @@ def type_errors(validated: DataFrame, keep: Sequence[str]) -> DataFrame:
 def length_errors(validated: DataFrame, spec: TableSpec, keep: Sequence[str]) -> DataFrame:
     """Rows with a string longer than its declared VARCHAR length (V2)."""
     limited = [c for c in spec.columns if c.max_length is not None]
-    over = F.filter(F.array(*[F.when(F.char_length(c.name) > c.max_length, F.lit(c.name))
-                              for c in limited]), lambda x: x.isNotNull())
+    over = F.array_except(F.array(*[F.when(F.char_length(c.name) > c.max_length, F.lit(c.name))
+                                    for c in limited]), F.array(F.lit(None).cast("string")))
     return (validated.select(*keep, over.alias("__over"),
                              F.greatest(*[F.char_length(c.name) for c in limited]).alias("__len"))
             .where(F.size("__over") > 0)
