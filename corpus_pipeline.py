@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import lines, quality, secrets
+from sluice.llm import jaccard, lines, quality, secrets
 from sluice.llm.common import SPACE, documents, written
 
 
@@ -27,6 +27,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return got.filter(left).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays: the smallest id."""
+    found = jaccard.jaccard_components(docs)
+    others = found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(others, F.col("doc_id") == F.col("__id"), "left_anti")
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks every secret in the texts."""
     got = secrets.scan(docs)
@@ -34,7 +41,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return got.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("secret_scans", secret_scans)]
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("secret_scans", secret_scans)]
 
 #: The n-gram join and the packing are not expressible in SQL.
 ORACLE_SQL = None

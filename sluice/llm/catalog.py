@@ -1,9 +1,10 @@
 """The queries of this package and, where SQL can express them, their DuckDB SQL."""
 from __future__ import annotations
 
-from . import chat, fingerprint, lines, quality, secrets
+from . import chat, fingerprint, jaccard, lines, quality, secrets
 
 QUERIES = {
+    "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_quality_rules": quality.op2_quality_rules,
     "op6_document_fingerprints": fingerprint.op6_document_fingerprints,
     "op7_chat_formatting": chat.op7_chat_formatting,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_ngram_jaccard": jaccard.SQL,
     "op2_quality_rules": quality.SQL,
     "op7_chat_formatting": chat.SQL,
     "op8_line_dedup": lines.SQL,
