@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import jaccard, lines, quality, secrets
+from sluice.llm import jaccard, lines, packing, quality, secrets
 from sluice.llm.common import SPACE, documents, written
 
 
@@ -41,7 +41,13 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return got.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("secret_scans", secret_scans)]
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the documents left into token sequences."""
+    return packing.packed(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("secret_scans", secret_scans),
+          ("best_fit_packing", best_fit_packing)]
 
 #: The n-gram join and the packing are not expressible in SQL.
 ORACLE_SQL = None

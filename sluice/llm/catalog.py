@@ -1,15 +1,19 @@
 """The queries of this package and, where SQL can express them, their DuckDB SQL."""
 from __future__ import annotations
 
-from . import chat, fingerprint, jaccard, lines, quality, secrets
+from . import chat, fingerprint, html, jaccard, lines, packing, pieces, pii, quality, secrets
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_html_extraction": html.op3_html_extraction,
+    "op4_personal_data": pii.op4_personal_data,
+    "op5_piece_dropout": pieces.op5_piece_dropout,
     "op6_document_fingerprints": fingerprint.op6_document_fingerprints,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_secret_scans": secrets.op9_secret_scans,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 SQL = {
