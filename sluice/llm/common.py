@@ -1,7 +1,10 @@
 """Small helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +58,26 @@ def spread(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Give the executors' Python workers this library (once per application), so that
+    operators with Python code run wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(package)))
+    sc.addPyFile(name)
+
+
 def literal_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """A small fixed table, made in the JVM (no Python workers)."""
     one = [F.struct(*[F.lit(v).alias(k) for k, v in r.items()]) for r in rows]

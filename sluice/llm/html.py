@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import shipped
 from .labelled_pages import AROUND, INSIDE, labelled_pages
 
 #: Element sets of the HTML standard (fixed values).
@@ -259,6 +260,7 @@ def main_text(html: str, model: tuple[dict, dict]) -> str:
 
 def extracted(pages: DataFrame, model: tuple[dict, dict] | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    shipped(pages.sparkSession)
     model = model or default_model()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,9 +16,10 @@ least 1 / ``RARE`` of all documents; the list (at most ``MOST_FREQUENT`` hashes,
 most frequent) only sets the order, so no link depends on it.
 
 Links, not all pairs: copies of one set are linked to its smallest id. In each list
-every member is paired with the list's smallest id, pairs that share enough of their
-prefix are verified and components formed. Then, exactly, every pair in different
-components that shares a list and can still reach the needed overlap is verified.
+every member is paired with two leaders, the smallest id and the smallest hash of an
+id; pairs that share enough of their prefix are verified and components formed. Then, exactly, every
+pair in different components that shares a list and can still reach the needed overlap
+(by the place of their last shared element) is verified.
 
 Defined cases: a null or empty text has an empty set, linked with nothing; one-shingle
 sets link only when equal; a row with a null id keeps its set size and has a null
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import documents, small_side, written
+from .common import documents, shipped, small_side, written
 from .graph import components
 from .shingles import shingle_sets
 
@@ -45,7 +46,7 @@ MOST_LIGHT = 64
 RARE = 4000
 MOST_FREQUENT = 500_000
 #: Elements counted together when frequent ones are looked for, and the least count.
-COUNT_BLOCK, LOCAL_LEAST = 4_000_000, 4
+COUNT_BLOCK, LOCAL_LEAST = 4_000_000, 2
 #: Pairs of one leader that are verified together.
 PAIRS_IN_CHUNK = 256
 FLUSH_BYTES = 4 << 20
@@ -138,18 +139,18 @@ def boundary(sets: DataFrame) -> int:
 # -- lists -----------------------------------------------------------------------
 
 def _postings(light: int, frequent: bytes):
-    """Rows (sig, pairs, doc_id, n): pairs says whether sig is a 2-subset's."""
+    """Rows (sig, doc_id, meta): meta packs the set size, the place of the element in
+    the order (of 2-subsets: 0), and whether sig is a 2-subset's."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.frombuffer(frequent, dtype=np.uint64)
         seen: set[bytes] = set()  # sets of this task: copies give the same rows
-        sig, pairs, doc, size, held = [], [], [], [], 0
+        sig, meta, doc, held = [], [], [], 0
 
         def rows() -> pa.RecordBatch:
             count = [len(x) for x in sig]
             return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.repeat(pairs, count).astype(bool)),
-                pa.array(np.repeat(np.array(doc, dtype=np.int64), count)), pa.array(np.repeat(np.array(size, dtype=np.int32), count))],
-                names=["sig", "pairs", "doc_id", "n"])
+                pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.repeat(np.array(doc, dtype=np.int64), count)),
+                pa.array(np.concatenate(meta))], names=["sig", "doc_id", "meta"])
 
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
@@ -170,15 +171,16 @@ def _postings(light: int, frequent: bytes):
                     a, b = np.triu_indices(p, 1)
                     low, high = np.minimum(s[a], s[b]), np.maximum(s[a], s[b])
                     sig.append(low * np.uint64(0x9E3779B97F4A7C15) + (high ^ (high >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
-                    pairs.append(True), doc.append(d), size.append(n)
+                    meta.append(np.full(len(a), (n << 32) + 1, dtype=np.int64)), doc.append(d)
                     held += len(a)
                 if n > light or 4 * n >= 3 * (light + 1):
-                    sig.append(s[:prefix_length(n)])
-                    pairs.append(False), doc.append(d), size.append(n)
-                    held += prefix_length(n)
+                    p = prefix_length(n)
+                    sig.append(s[:p])
+                    meta.append((n << 32) + 2 * np.arange(p, dtype=np.int64)), doc.append(d)
+                    held += p
                 if held > FLUSH_BYTES // 8:
                     yield rows()
-                    sig, pairs, doc, size, held = [], [], [], [], 0
+                    sig, meta, doc, held = [], [], [], 0
         if sig:
             yield rows()
     return emit
@@ -186,14 +188,18 @@ def _postings(light: int, frequent: bytes):
 
 def shared_lists(docs: DataFrame, light: int, frequent: np.ndarray) -> DataFrame:
     """Postings of every signature that more than one document has, each with the
-    list's smallest id (``lead``) and that document's size (``lead_n``)."""
+    list's two leaders and their sizes."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")) \
-        .mapInArrow(_postings(light, frequent.tobytes()), "sig long, pairs boolean, doc_id long, n int")
-    w = Window.partitionBy("sig", "pairs")
-    lead = F.min(F.struct("doc_id", "n")).over(w)
-    return written(rows.withColumn("lead", lead).withColumn("last", F.max("doc_id").over(w))
-                   .filter(F.col("last") > F.col("lead")["doc_id"])
-                   .select("sig", "pairs", "doc_id", "n", F.col("lead")["doc_id"].alias("lead"), F.col("lead")["n"].alias("lead_n")), "shared-lists")
+        .mapInArrow(_postings(light, frequent.tobytes()), "sig long, doc_id long, meta long")
+    w = Window.partitionBy("sig")
+    size = lambda c: F.shiftright(c, 32).cast("int")
+    rows = rows.withColumn("first", F.min(F.struct("doc_id", "meta")).over(w)).withColumn("last", F.max("doc_id").over(w)) \
+        .withColumn("other", F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "meta")).over(w))
+    return written(rows.filter(F.col("last") > F.col("first")["doc_id"]).select(
+        "sig", "doc_id", size("meta").alias("n"), F.shiftright(F.col("meta").bitwiseAND(F.lit(2**32 - 1)), 1).cast("int").alias("at"),
+        (F.col("meta").bitwiseAND(F.lit(1)) == 1).alias("pairs"), F.col("first")["doc_id"].alias("lead_0"), size(F.col("first")["meta"]).alias("n_0"),
+        F.col("other")["doc_id"].alias("lead_1"), size(F.col("other")["meta"]).alias("n_1")),
+        "shared-lists")
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
@@ -273,8 +279,26 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 # -- join ------------------------------------------------------------------------
 
+def _star_pairs(members: DataFrame, light: int) -> DataFrame:
+    """Pairs (a: leader, b: member) likely to link, from rows of lists with their
+    leader (``lead``, ``lead_n``)."""
+    both_light = (F.col("n") <= light) & (F.col("lead_n") <= light)
+    star = members.filter((F.col("doc_id") != F.col("lead")) & _sizes_fit(F.col("n"), F.col("lead_n")) & (F.col("pairs") == both_light)) \
+        .groupBy(F.col("lead").alias("a"), F.col("doc_id").alias("b")).agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"), F.max("pairs").alias("light"))
+    return star.filter(F.col("light") | (4 * F.col("m") >= F.col("n") - _behind(F.col("n"))))
+
+
+def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists whose members are in different components."""
+    placed = lists.join(small_side(found, found.count()), F.col("doc_id") == F.col("id"), "left") \
+        .select("sig", "pairs", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("sig")
+    return written(placed.join(mixed, "sig"), "mixed-lists")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
+    shipped(docs.sparkSession)
     sets = described(docs)
     own = sets.filter(F.col("key").isNotNull())
     n_docs = own.count()
@@ -284,27 +308,28 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     light = boundary(sets)
     lists = shared_lists(docs, light, frequent_hashes(sets, n_docs))
 
-    both_light = (F.col("n") <= light) & (F.col("lead_n") <= light)
-    star = lists.filter((F.col("doc_id") != F.col("lead")) & _sizes_fit(F.col("n"), F.col("lead_n")) & (F.col("pairs") == both_light)) \
-        .groupBy(F.col("lead").alias("a"), F.col("doc_id").alias("b")).agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"), F.max("pairs").alias("light"))
-    star = star.filter(F.col("light") | (4 * F.col("m") >= F.col("n") - _behind(F.col("n"))))
+    leads = [lists.select("doc_id", "n", "pairs", F.col(f"lead_{k}").alias("lead"), F.col(f"n_{k}").alias("lead_n")) for k in (0, 1)]
+    star = _star_pairs(leads[0], light).union(_star_pairs(leads[1], light))
     key_of = lambda c: keyed.select(F.col("doc_id").alias(c), F.col("key").alias(f"key_{c}"))
     star = star.join(key_of("a"), "a").join(key_of("b"), "b").filter("key_a <> key_b").select("a", "b").distinct()
     links = written(copies.union(verified(docs, star)), "star-links")
     found = components(links)
+    rest = _mixed(lists, found)
 
-    n_found = found.count()
-    component = F.coalesce("component", "doc_id").alias("component")
-    placed = lists.join(small_side(found, n_found), F.col("doc_id") == F.col("id"), "left").select("sig", "pairs", "doc_id", "n", component)
-    mixed = placed.groupBy("sig", "pairs").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("sig", "pairs")
-    rest = written(placed.join(mixed, ["sig", "pairs"]), "mixed-lists")
+    # nth: elements of the document in these lists before this one; two documents in
+    # different components share no others
+    rest = rest.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "pairs").orderBy("at", "sig")) - 1)
     x, y = rest.alias("x"), rest.alias("y")
     xn, yn = F.col("x.n"), F.col("y.n")
-    met = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.pairs") == F.col("y.pairs")) & (F.col("x.component") < F.col("y.component"))
-                 & _sizes_fit(xn, yn) & (F.col("x.pairs") == ((xn <= light) & (yn <= light))))
+    met = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
+                 & _sizes_fit(xn, yn) & (F.col("x.pairs") == ((xn <= light) & (yn <= light)))
+                 & (F.col("x.pairs") | (F.least("x.nth", "y.nth") + 1 + F.least(xn - 1 - F.col("x.at"), yn - 1 - F.col("y.at")) >= _needed(xn, yn))))
+    # overlap: the shared prefix elements, and at most what stands behind the last one
+    # and behind a prefix
+    behind = F.least(F.max(xn) - 1 - F.max("x.at"), F.max(yn) - 1 - F.max("y.at"), F.greatest(_behind(F.max(xn)), _behind(F.max(yn))))
     pairs = met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")) \
-        .agg(F.count(F.lit(1)).alias("m"), F.max(xn).alias("an"), F.max(yn).alias("bn"), F.max("x.pairs").alias("light")) \
-        .filter(F.col("light") | (F.col("m") + F.greatest(_behind(F.col("an")), _behind(F.col("bn"))) >= _needed(F.col("an"), F.col("bn"))))
+        .agg(F.max("x.pairs").alias("light"), (F.count(F.lit(1)) + behind).alias("most"), _needed(F.max(xn), F.max(yn)).alias("needed")) \
+        .filter(F.col("light") | (F.col("most") >= F.col("needed")))
     more = written(verified(docs, pairs), "rest-links")
     if not more.isEmpty():
         found = components(links.union(more))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, text_or_empty, written
+from .common import documents, shipped, text_or_empty, written
 
 CAPACITY = 1024
 END = 2
@@ -228,6 +228,7 @@ def _ranked(cut: DataFrame, n: int) -> DataFrame:
 
 def packed(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    shipped(docs.sparkSession)
     if ranks_path is None:
         import public_tokenizers
         ranks_path = public_tokenizers.path("byte_bpe_50k.tiktoken")

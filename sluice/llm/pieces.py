@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, text_or_empty
+from .common import documents, shipped, text_or_empty
 
 SEED = 20240201
 RATE = 0.1
@@ -273,6 +273,7 @@ def _default_path() -> str:
 def encoded(docs: DataFrame, seed: int = SEED, rate: float = RATE, path: str | None = None, digest: bool = False) -> DataFrame:
     """doc_id, ids (array) — or, as ``digest``, n_ids, ids_crc32, decoded_sha256 and
     lossless, read back from the ids."""
+    shipped(docs.sparkSession)
     path = path or _default_path()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, text_or_empty
+from .common import documents, shipped, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -281,6 +281,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Weights:
 
 def personal_data(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
     """doc_id, counts of base spans by kind, base_sha256, spans, n_added."""
+    shipped(docs.sparkSession)
     w = weights or train(docs)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
