@@ -268,7 +268,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_IN_CHUNK).alias("chunks"))
     dealt = pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")))
     members = dealt.select(F.col("b").alias("id"), F.struct("a", "chunk", F.lit(True).alias("member")).alias("use"))
-    leaders = dealt.select("a", "chunk").distinct().select(F.col("a").alias("id"), F.struct("a", "chunk", F.lit(False).alias("member")).alias("use"))
+    leaders = chunks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")) \
+        .select(F.col("a").alias("id"), F.struct("a", "chunk", F.lit(False).alias("member")).alias("use"))
     uses = written(members.union(leaders).groupBy("id").agg(F.collect_list("use").alias("uses")), "uses")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     sets = d.join(small_side(uses, uses.count(), 250_000), F.col("doc_id") == F.col("id")).select("doc_id", "text", "uses") \
@@ -309,9 +310,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     lists = shared_lists(docs, light, frequent_hashes(sets, n_docs))
 
     leads = [lists.select("doc_id", "n", "pairs", F.col(f"lead_{k}").alias("lead"), F.col(f"n_{k}").alias("lead_n")) for k in (0, 1)]
-    star = _star_pairs(leads[0], light).union(_star_pairs(leads[1], light))
+    star = _star_pairs(leads[0], light).union(_star_pairs(leads[1], light)).select("a", "b").distinct()
     key_of = lambda c: keyed.select(F.col("doc_id").alias(c), F.col("key").alias(f"key_{c}"))
-    star = star.join(key_of("a"), "a").join(key_of("b"), "b").filter("key_a <> key_b").select("a", "b").distinct()
+    star = star.join(key_of("a"), "a").join(key_of("b"), "b").filter("key_a <> key_b").select("a", "b")
     links = written(copies.union(verified(docs, star)), "star-links")
     found = components(links)
     rest = _mixed(lists, found)
