@@ -117,7 +117,8 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
         return None
     sure = frozenset().union(*[alts[0] for alts in found if len(alts) == 1])
     best = max(found, key=lambda alts: min(map(len, alts)))
-    return sorted({alt | sure for alt in best}, key=sorted)
+    alts = {alt | sure for alt in best}
+    return sorted((a for a in alts if not any(b < a for b in alts)), key=sorted)
 
 
 def query_plan(rules: tuple[Rule, ...]) -> list[dict]:
