@@ -12,7 +12,8 @@ def mask_column(c: Column, policy: str) -> Column:
 
     * ``redact``: every letter becomes ``x``/``X`` and every digit ``9``;
     * ``hash``: hex SHA-256 of the text;
-    * ``last4``: all but the last four characters become ``*``;
+    * ``last4``: all but the last four characters become ``*``; a text of up to
+      four characters is masked whole;
     * ``email_domain``: the local part of an e-mail address becomes ``***``.
     """
     if policy == "redact":
@@ -22,7 +23,7 @@ def mask_column(c: Column, policy: str) -> Column:
         return F.sha2(c, 256)
     if policy == "last4":
         n = F.char_length(c)
-        return F.when(n <= 4, c).otherwise(
+        return F.when(n <= 4, F.repeat(F.lit("*"), n)).otherwise(
             F.concat(F.repeat(F.lit("*"), n - 4), F.substring(c, -4, 4)))
     if policy == "email_domain":
         return F.regexp_replace(c, "^[^@]*@", "***@")

@@ -32,6 +32,16 @@ def _fence(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
+def _with_base(d: DataFrame, bases: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach each block's base; NULL keys and blocks meet their own base."""
+    b = bases.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)], _BASE)
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__b{i}"))
+        cond = c if cond is None else cond & c
+    return d.join(b, cond, "inner").drop(*[f"__b{i}" for i in range(len(keys))])
+
+
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -52,7 +62,7 @@ def dense_sequence(df: DataFrame, partition_by: Sequence[str], order_by: str,
     bases = counts.select(*keys, _BLOCK,
                           F.coalesce(F.sum("__n").over(w_blocks), F.lit(0)).alias(_BASE))
     w_rows = Window.partitionBy(*keys, _BLOCK).orderBy(order_by)
-    out = (d.join(bases, [*keys, _BLOCK], "inner")
+    out = (_with_base(d, bases, [*keys, _BLOCK])
            .withColumn(name, F.row_number().over(w_rows) - 1 + F.col(_BASE) + F.lit(start))
            .drop(_BLOCK, _BASE))
     return out
@@ -65,7 +75,7 @@ def running_total(df: DataFrame, order_by: str, value: str, block: Column,
 
     ``df`` is expected to be pre-aggregated so that ``order_by`` is unique per
     partition (as in a series of time buckets); ``block`` must be monotone in
-    ``order_by``.
+    ``order_by``. A NULL bucket comes last.
     """
     keys = list(partition_by)
     # One hash exchange by (keys, block) feeds both the block totals and the
@@ -73,13 +83,13 @@ def running_total(df: DataFrame, order_by: str, value: str, block: Column,
     # neither step shuffles again.
     d = _fence(df.withColumn(_BLOCK, block).repartition(*keys, _BLOCK))
     totals = d.groupBy(*keys, _BLOCK).agg(F.sum(value).alias("__s"))
-    w_blocks = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(
+    w_blocks = Window.partitionBy(*keys).orderBy(F.col(_BLOCK).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1)
     bases = totals.select(*keys, _BLOCK, F.sum("__s").over(w_blocks).alias(_BASE))
     w_rows = (Window.partitionBy(*keys, _BLOCK).orderBy(order_by)
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     within = F.sum(value).over(w_rows)
-    out = (d.join(bases, [*keys, _BLOCK], "inner")
+    out = (_with_base(d, bases, [*keys, _BLOCK])
            .withColumn(name, F.when(F.col(_BASE).isNull(), within)
                        .otherwise(within + F.col(_BASE)))
            .drop(_BLOCK, _BASE))

@@ -8,20 +8,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEYS = ("topic", "partition", "offset")
 
 
+def _single(keys: Sequence[str]) -> Column:
+    """A grouping key of its own for each row with a NULL in its key."""
+    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    return F.when(has_null, F.monotonically_increasing_id())
+
+
 def keep_first(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ("push_time",)) -> DataFrame:
     """Keep one row per key: the first by ``order`` (ties broken by the other
-    columns, so the pick is deterministic)."""
+    columns, so the pick is deterministic). A row with a NULL in its key has no
+    identity to repeat, so each such row is kept."""
     rest = [c for c in df.columns if c not in keys]
     tie = [c for c in rest if c not in order]
     row = F.struct(*[F.col(c) for c in rest])
     rank = F.struct(*[F.col(c) for c in (*order, *tie)])
-    return (df.groupBy(*keys).agg(F.min_by(row, rank).alias("__row"))
+    return (df.groupBy(*keys, _single(keys).alias("__single")).agg(F.min_by(row, rank).alias("__row"))
             .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
@@ -35,11 +42,8 @@ def drop_duplicated_keys(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
     so they are kept as they are.
     """
     rest = [c for c in df.columns if c not in keys]
-    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-    # one pass: a row with a NULL key gets a unique extra grouping key, so it
-    # is a group of one and survives
-    single = F.when(has_null, F.monotonically_increasing_id())
-    return (df.groupBy(*keys, single.alias("__single"))
+    # one pass: a row with a NULL key is a group of one and survives
+    return (df.groupBy(*keys, _single(keys).alias("__single"))
             .agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*rest)).alias("__row"))
             .where(F.col("__n") == 1)
             .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))

@@ -112,9 +112,12 @@ def land_by_name(df: DataFrame, spec: TableSpec, as_of: str | _dt.datetime | Non
     d = with_raw_fields(with_payload(df, value), spec, keep)
     d = d.select(*keep, *raw_fields(d, spec))
     cols = [*keep, *typed(spec, text_fixes)]
-    if as_of is not None:
-        cols.append(lit_ntz(as_of).alias("ingestion_time"))
-    return d.select(*cols)
+    out = d.select(*cols)
+    if as_of is None:
+        return out
+    if "ingestion_time" in out.columns:  # a sent value stays
+        return with_default(out, "ingestion_time", lit_ntz(as_of))
+    return out.withColumn("ingestion_time", lit_ntz(as_of))
 
 
 def with_default(df: DataFrame, column: str, default: Column) -> DataFrame:

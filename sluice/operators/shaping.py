@@ -118,7 +118,9 @@ def parse_topic_map(option: str) -> list[tuple[str, str]]:
     return out
 
 
-_REGEX_CHARS = set(".*+?[](){}|^$\\")
+#: A dot is common in topic names, so a name whose only special character is a
+#: dot is taken literally.
+_REGEX_CHARS = set("*+?[](){}|^$\\")
 
 
 def sanitize_table_name(topic: Column) -> Column:

@@ -392,15 +392,16 @@ def q_stream_land(spark, sf):
 
 
 def q_stream_dedup(spark, sf):
-    """Streaming de-dup of re-delivered records within a 10-minute watermark."""
+    """Streaming de-dup of re-delivered records over several micro-batches, one
+    group of log partitions after the other, so most arrive late."""
     import uuid
 
     from sluice.session import checkpoint_path
     from sluice.sources.log_source import file_stream
-    from sluice.streaming.ops import dedup_within_watermark
-    src = _stage_input(spark, fx.log_records_dup(spark, sf), "log_records_dup")
+    from sluice.streaming.ops import dedup_exact
+    src = _stage_input(spark, fx.log_records_dup(spark, sf).repartition(6, "topic", "partition"), "log_records_dup")
     run = checkpoint_path(spark, "stream_dedup", uuid.uuid4().hex[:10])
-    out = dedup_within_watermark(file_stream(spark, src), delay="10 minutes")
+    out = dedup_exact(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)))
     q = (out.writeStream.format("parquet").option("checkpointLocation", run + "/ckpt")
          .option("path", run + "/out").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()

@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     The cluster names it in ``spark.checkpoint.dir``; we only set one of our own
-    when it is unset (local runs and tests), and then under ``/tmp``.
+    when it is unset and the master is local (tests), and then under ``/tmp``; on a
+    cluster an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="sluice-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

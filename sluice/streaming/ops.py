@@ -11,9 +11,19 @@ from pyspark.sql.streaming import StreamingQueryListener
 from sluice.operators.shaping import route_topics
 
 
+def dedup_exact(stream: DataFrame, keys: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
+    """Each key's first delivery, however late and however the input is cut into
+    batches. Keys are kept as state without end (use the RocksDB state store); the
+    landing sink, which looks keys up in the landed table, needs no such state."""
+    return stream.dropDuplicates(list(keys))
+
+
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str] = ("topic", "partition", "offset"),
                            event_time: str = "timestamp", delay: str = "10 minutes") -> DataFrame:
-    """Re-deliveries inside ``delay`` of each other are dropped; state for a
+    """For rates and alerts only: records later than ``delay`` behind the newest
+    event time are dropped, first deliveries too. :func:`dedup_exact` loses none.
+
+    Re-deliveries inside ``delay`` of each other are dropped; state for a
     key is kept only until the watermark passes it. Watermarks need a
     TIMESTAMP column, so an NTZ time is cast once here."""
     ts = "__event_ts"
