@@ -21,17 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.plan import fence
+
 _BLOCK = "__blk"
 _BASE = "__base"
 
 
-def _fence(df: DataFrame) -> DataFrame:
-    """Keep both consumers of ``df`` on one identical exchange: column
-    pruning and filters stop at the generator, so the subtree below stays the
-    same for both and Spark reuses the exchange instead of recomputing it."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
-
-
 def _with_base(d: DataFrame, bases: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Attach each block's base; NULL keys and blocks meet their own base."""
     b = bases.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)], _BASE)
@@ -81,7 +76,7 @@ def running_total(df: DataFrame, order_by: str, value: str, block: Column,
     # One hash exchange by (keys, block) feeds both the block totals and the
     # per-block windows, so the (often expensive) input is computed once and
     # neither step shuffles again.
-    d = _fence(df.withColumn(_BLOCK, block).repartition(*keys, _BLOCK))
+    d = fence(df.withColumn(_BLOCK, block).repartition(*keys, _BLOCK))
     totals = d.groupBy(*keys, _BLOCK).agg(F.sum(value).alias("__s"))
     w_blocks = Window.partitionBy(*keys).orderBy(F.col(_BLOCK).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1)

@@ -29,9 +29,10 @@ def latest(df: DataFrame) -> DataFrame:
 
 def top_by_revenue(df: DataFrame, dim: str = "country", amount: str = "order_amount",
                    n: int = 10) -> DataFrame:
-    """Top ``n`` by revenue; ties broken by the dimension value."""
-    return (df.groupBy(dim).agg(money(F.sum(amount)).alias("revenue"))
-            .orderBy(F.desc("revenue"), F.asc(dim)).limit(n))
+    """Top ``n`` by exact revenue; ties broken by the dimension value."""
+    return (df.groupBy(dim).agg(F.sum(amount).alias("revenue"))
+            .orderBy(F.desc("revenue"), F.asc(dim)).limit(n)
+            .withColumn("revenue", money(F.col("revenue"))))
 
 
 def run_summary(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sluice.functions import casts
 from sluice.functions.json_fields import (lowered_key_list, parse_object, position_of, unknown_keys,
                                          value_at)
+from sluice.functions.plan import fence
 from sluice.functions.timefn import lit_ntz
 from sluice.operators.spec import TableSpec
 
@@ -142,19 +143,6 @@ def reason_columns(spec: TableSpec, value: str = "value") -> list[Column]:
     return rs
 
 
-def fence(df: DataFrame) -> DataFrame:
-    """Stop later filters at this point of the plan.
-
-    A filter on a derived column (``is_valid``) would otherwise be pushed
-    below the projections that derive it, with every alias inlined -- the
-    JSON parse and each field pick would then run once per reference in the
-    condition and again in the projection. Filters cannot pass a generator
-    whose output they read, so one ``inline`` of a one-element array keeps
-    the parse at one evaluation per row.
-    """
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
-
-
 def validate(df: DataFrame, spec: TableSpec, keep: Sequence[str] = (),
              value: str = "value", text_fixes: dict | None = None) -> DataFrame:
     """Land by name and attach ``error_reasons`` (array) and ``is_valid``."""

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.plan import fence
 from sluice.functions.timefn import lit_date, trunc_ntz, years_between_boundaries
 
 
@@ -77,7 +78,7 @@ class SemanticView:
             # The filter reads derived columns: stop it above their derivation
             # so an expensive input (a JSON parse) is not re-evaluated inside
             # the pushed-down condition.
-            base = _fence(base).where(where)
+            base = fence(base).where(where)
         # dimension filters may name dimensions: materialise them as columns first
         dim_cols = [self.dimensions[d].expr(ctx).alias(d) for d in dims]
         agg_cols = [self.metrics[m].expr(ctx).alias(m) for m in mets]
@@ -92,10 +93,6 @@ class SemanticView:
         return self.dimensions[self.resolve(name, "dimension")].expr({"as_of": as_of})
 
 
-def _fence(df: DataFrame) -> DataFrame:
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
-
-
 def _age(ctx) -> Column:
     return years_between_boundaries(F.col("date_of_birth"), lit_date(ctx["as_of"]))
 

@@ -2,8 +2,11 @@
 
 Per micro-batch:
 
+0. with ``evolve=True``, widen the spec by the new payload keys (one rule with
+   ``evolve.evolved_columns``); a key that has a landed column keeps its type;
 1. validate once (persisted for the two outputs, unpersisted after);
-2. write the error rows first, so a crash can never lose them;
+2. write the error rows first, each with its key, payload and every reason, so
+   no rejected record is lost;
 3. drop re-delivered records: keep the first copy per (topic, partition,
    offset) inside the batch, and anti-join against keys already landed by
    earlier batches -- the landed side is read only from ``offset >=`` the
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.timefn import from_epoch_millis
 from sluice.operators import dedup, landing
-from sluice.operators.evolve import SPARK_TYPE, infer_key_types
+from sluice.operators.evolve import SPARK_TYPE, evolved_columns
 from sluice.operators.spec import ColumnSpec, TableSpec
 from sluice.session import checkpoint_path
 
@@ -44,6 +47,7 @@ class LandingState:
     rows_landed: int = 0
     rows_error: int = 0
     error_history: list[int] = field(default_factory=list)
+    errors_by_epoch: dict[int, int] = field(default_factory=dict)
     abort: bool = False
     columns: list[str] = field(default_factory=list)
 
@@ -57,12 +61,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
     """The landed table, or None while nothing has been landed (a folder
-    with no data files yet)."""
+    with no data files yet). Any other fault is raised."""
     if not _exists(spark, path):
         return None
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return None
 
 
@@ -72,30 +78,44 @@ def _write_epoch(df: DataFrame, path: str, epoch: int) -> None:
        .partitionBy("_epoch").parquet(path))
 
 
-def evolved_spec(batch: DataFrame, spec: TableSpec) -> TableSpec:
-    """The spec widened by the new keys of this batch (their number is
-    bounded by the payload schema, so the list is small)."""
-    types = infer_key_types(batch)
-    declared = {c.name for c in spec.columns}
-    new = [(r.key.lower(), r.inferred_type) for r in
-           types.select("key", "inferred_type").collect() if r.key.lower() not in declared]
-    cols = list(spec.columns)
-    seen = set(declared)
-    for name, t in sorted(new):
-        if name not in seen:
-            cols.append(ColumnSpec(name, SPARK_TYPE.get(t, "string")))
-            seen.add(name)
-    return TableSpec(spec.name, tuple(cols), evolve=True)
+def evolved_spec(batch: DataFrame, spec: TableSpec, landed: DataFrame | None = None,
+                 max_new_columns: int = 1000) -> TableSpec:
+    """The spec widened by the new keys of this batch. A key that an earlier batch
+    landed keeps its column's type, so a value that does not fit is an error row. A
+    batch with more than ``max_new_columns`` new keys (ids used as keys) is refused."""
+    known = {f.name.lower(): f.dataType.simpleString() for f in landed.schema} if landed is not None else {}
+    new = (evolved_columns(batch, spec).where("is_new").select("column_name", "data_type")
+           .limit(max_new_columns + 1).collect())
+    if len(new) > max_new_columns:
+        raise ValueError(f"a batch for {spec.name} has over {max_new_columns} new payload keys")
+    cols = [ColumnSpec(r.column_name, known.get(r.column_name, SPARK_TYPE.get(r.data_type, "string")))
+            for r in sorted(new)]
+    return TableSpec(spec.name, (*spec.columns, *cols), evolve=True)
+
+
+def _count_errors(state: LandingState, spark: SparkSession, errors: str, epoch: int, n: int) -> None:
+    """Errors per epoch, taken from the error table by a new state (after a restart); a
+    replayed epoch replaces its count. The monitor aborts when their total grew."""
+    if not state.errors_by_epoch:
+        before = _read_parquet(spark, errors)
+        if before is not None:
+            state.errors_by_epoch = {r["_epoch"]: r["count"] for r in before.where(F.col("_epoch") < epoch)
+                                     .groupBy("_epoch").count().collect()}
+    grew = bool(state.batches or state.errors_by_epoch) and n > 0 and epoch not in state.errors_by_epoch
+    state.errors_by_epoch[epoch] = n
+    state.rows_error = sum(state.errors_by_epoch.values())
+    state.error_history.append(state.rows_error)
+    state.abort = state.abort or grew
 
 
 def land_batch(batch: DataFrame, epoch: int, spec: TableSpec, target: str, errors: str,
                state: LandingState | None = None, text_fixes: dict | None = None) -> None:
     spark = batch.sparkSession
     if spec.evolve:
-        spec = evolved_spec(batch, spec)
+        spec = evolved_spec(batch, spec, _read_parquet(spark, target))
     v = landing.validate(batch, spec, keep=KEEP, text_fixes=text_fixes).persist()
     try:
-        good, bad = landing.split_errors(v, from_epoch_millis(F.col("push_time")), KEYS)
+        good, bad = landing.split_errors(v, from_epoch_millis(F.col("push_time")), (*KEYS, "key", "value"))
         _write_epoch(bad, errors, epoch)                     # errors first
         good = dedup.keep_first(good.drop("value"), KEYS, order=("push_time",))
         prior = _read_parquet(spark, target)
@@ -108,12 +128,9 @@ def land_batch(batch: DataFrame, epoch: int, spec: TableSpec, target: str, error
         _write_epoch(good, target, epoch)
         if state is not None:
             counts = v.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_valid")).alias("e")).first()
+            _count_errors(state, spark, errors, epoch, counts.e)
             state.batches += 1
             state.rows_in += counts.n
-            state.rows_error += counts.e
-            state.error_history.append(state.rows_error)
-            if len(state.error_history) > 1 and state.error_history[-1] > state.error_history[-2]:
-                state.abort = True           # the monitor's abort rule: errors grew
             state.columns = spec.names
     finally:
         v.unpersist()

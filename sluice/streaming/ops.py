@@ -44,11 +44,14 @@ def windowed_throughput(stream: DataFrame, event_time: str = "timestamp", window
                     (F.col("n_records") / secs).alias("records_per_sec")))
 
 
-def fan_out(batch: DataFrame, mapping: str, base_path: str) -> None:
+def fan_out(batch: DataFrame, mapping: str, base_path: str, epoch: int = 0) -> None:
     """Write one micro-batch to its target tables: one partitioned write
-    (``target_table=...`` folders), not one job per table."""
-    (batch.withColumn("target_table", route_topics(F.col("topic"), mapping))
-          .write.mode("append").partitionBy("target_table").parquet(base_path))
+    (``_epoch=.../target_table=...`` folders), not one job per table. The epoch's
+    folders are replaced, so a batch replayed after a failure adds no rows."""
+    routed = batch.withColumn("target_table", route_topics(F.col("topic"), mapping))
+    (routed.withColumn("_epoch", F.lit(epoch).cast("long"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_epoch", "target_table").parquet(base_path))
 
 
 class ProgressMarks(StreamingQueryListener):

@@ -39,6 +39,10 @@ def test_fan_out_one_partitioned_write(spark):
     got = {r.target_table: r.n for r in spark.read.parquet(base).groupBy("target_table")
            .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {"ORDER_TABLE": 1, "ALL_EVENTS": 1, "MISC_X": 1}
+    fan_out(df, "orders:ORDER_TABLE,.*_events:ALL_EVENTS", base)          # a replayed epoch
+    assert spark.read.parquet(base).count() == 3
+    fan_out(df, "orders:ORDER_TABLE,.*_events:ALL_EVENTS", base, epoch=1)
+    assert spark.read.parquet(base).count() == 6
 
 
 def test_metadata_switches(spark):

@@ -72,6 +72,42 @@ def test_schema_evolution_adds_columns(spark):
     assert rows[1].loyalty_tier is None and rows[2].loyalty_tier == "gold" and rows[2].visits == 3
 
 
+def test_evolution_keeps_the_type_of_a_landed_column(spark):
+    _, target, errors, _ = _dirs()
+    spec = USERS.__class__(USERS.name, USERS.columns, evolve=True)
+    sl.land_batch(log_df(spark, [("u", 0, 0, '{"x":5}')]), 0, spec, target, errors)
+    sl.land_batch(log_df(spark, [("u", 0, 1, '{"X":"abc"}'), ("u", 0, 2, '{"x":7}')]), 1, spec, target, errors)
+    assert {r.offset: r.x for r in sl.read_landed(spark, target).collect()} == {0: 5, 2: 7}
+    bad = spark.read.parquet(errors).collect()
+    assert [(r.offset, r.value, r.error_reasons) for r in bad] == [(1, '{"X":"abc"}', "x:invalid_bigint")]
+
+
+def test_evolution_folds_keys_that_differ_by_case(spark):
+    _, target, errors, _ = _dirs()
+    spec = USERS.__class__(USERS.name, USERS.columns, evolve=True)
+    sl.land_batch(log_df(spark, [("u", 0, 0, '{"Foo":5}'), ("u", 0, 1, '{"foo":"abc"}')]), 0, spec, target, errors)
+    assert {r.offset: r.foo for r in sl.read_landed(spark, target).collect()} == {0: "5", 1: "abc"}
+
+
+def test_error_rows_keep_the_record(spark):
+    _, target, errors, _ = _dirs()
+    sl.land_batch(log_df(spark, [("u", 4, 0, '{"user_id":"x","date_of_birth":"y"}')]), 0, USERS, target, errors)
+    r = spark.read.parquet(errors).first()
+    assert (r.key, r.value, r.n_reasons) == ("4", '{"user_id":"x","date_of_birth":"y"}', 2)
+
+
+def test_abort_counts_survive_restart_and_replay(spark):
+    _, target, errors, _ = _dirs()
+    bad = log_df(spark, [("u", 0, 0, '{"user_id":"x"}')])
+    st = sl.LandingState()
+    sl.land_batch(bad, 0, USERS, target, errors, st)
+    sl.land_batch(bad, 0, USERS, target, errors, st)       # a replay of the same epoch
+    assert st.rows_error == 1 and not st.abort
+    st = sl.LandingState()                                 # a new driver
+    sl.land_batch(log_df(spark, [("u", 0, 1, '{"user_id":"y"}')]), 1, USERS, target, errors, st)
+    assert st.rows_error == 2 and st.abort
+
+
 def test_abort_when_errors_grow(spark):
     _, target, errors, _ = _dirs()
     st = sl.LandingState()
