@@ -18,8 +18,11 @@ most frequent) only sets the order, so no link depends on it.
 Links, not all pairs: copies of one set are linked to its smallest id. In each list
 every member is paired with two leaders, the smallest id and the smallest hash of an
 id; pairs that share enough of their prefix are verified and components formed. Then, exactly, every
-pair in different components that shares a list and can still reach the needed overlap
-(by the place of their last shared element) is verified.
+pair in different components that can still link is verified: it shares an element among
+the first ``n - needed + 1`` of both sets (``needed``: the overlap of two linked sets of
+these sizes), can reach ``needed`` by the place of its last such element, and its parity
+bitmaps (every element flips one bit) differ in no more bits than two linked sets may
+have elements apart.
 
 Defined cases: a null or empty text has an empty set, linked with nothing; one-shingle
 sets link only when equal; a row with a null id keeps its set size and has a null
@@ -49,6 +52,8 @@ MOST_FREQUENT = 500_000
 COUNT_BLOCK, LOCAL_LEAST = 4_000_000, 2
 #: Pairs of one leader that are verified together.
 PAIRS_IN_CHUNK = 256
+#: Least bits of a set's parity bitmap, which has a power of two and two for an element.
+LEAST_BITS = 512
 FLUSH_BYTES = 4 << 20
 
 
@@ -59,42 +64,69 @@ def prefix_length(n: int, more: int = 0) -> int:
 # -- sets ------------------------------------------------------------------------
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: size, digest of the set, the set itself if small. Extra rows
-    (doc null, key null): hashes frequent within a block of documents."""
+    """Per document: size, digest of the set, its parity bitmap, the set itself if small.
+    Extra rows (doc null, key null): hashes frequent within a block of documents."""
     held, size = [], 0
 
     def frequent() -> pa.RecordBatch | None:
         values, counts = np.unique(np.concatenate(held), return_counts=True)
         often = counts >= max(LOCAL_LEAST, len(held) // RARE)
         values, counts = values[often].view(np.int64), counts[often].astype(np.int64)
-        return _rows([None] * len(values), counts, [None] * len(values), [None] * len(values), values)
+        none = [None] * len(values)
+        return _rows(none, counts, none, none, none, values)
 
     for batch in batches:
-        n, keys, small = [], [], []
+        n, keys, bits, small = [], [], [], []
         for s in shingle_sets(batch.column("text")):
             raw = s.tobytes()
             n.append(len(s))
             keys.append(xxhash.xxh3_128_digest(raw))
+            bits.append(parity_bitmap(s))
             small.append(raw if len(s) <= MOST_LIGHT else None)
             held.append(s)
             size += len(s)
             if size > COUNT_BLOCK:
                 yield frequent()
                 held, size = [], 0
-        yield _rows(batch.column("doc_id"), n, keys, small, [None] * len(n))
+        yield _rows(batch.column("doc_id"), n, keys, bits, small, [None] * len(n))
     if held:
         yield frequent()
 
 
-def _rows(doc, n, key, small, often) -> pa.RecordBatch:
+def parity_bitmap(s: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of the set's hashes end in i. Two bitmaps of one
+    length differ in at most as many bits as the sets have elements apart; the halves of
+    a bitmap give the next shorter one by exclusive or."""
+    bits = max(LEAST_BITS, 1 << (2 * len(s) - 1).bit_length()) if len(s) else LEAST_BITS
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    x, y = (np.frombuffer(z, dtype=np.uint64) for z in sorted((x, y), key=len))
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose bitmaps differ in at most ``apart`` bits."""
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "apart")), strict=True)
+        keep = pa.array([bits_apart(x, y) <= apart for x, y, apart in rows], pa.bool_())
+        yield batch.select(["a", "b"]).filter(keep)
+
+
+def _rows(doc, n, key, bits, small, often) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         doc if isinstance(doc, pa.Array) else pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
-        pa.array(small, pa.binary()), pa.array(often, pa.int64())], names=["doc_id", "n", "key", "small", "often"])
+        pa.array(bits, pa.binary()), pa.array(small, pa.binary()), pa.array(often, pa.int64())],
+        names=["doc_id", "n", "key", "bits", "small", "often"])
 
 
 def described(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return written(d.mapInArrow(_describe, "doc_id long, n long, key binary, small binary, often long"), "shingle-sets")
+    return written(d.mapInArrow(_describe, "doc_id long, n long, key binary, bits binary, small binary, often long"), "shingle-sets")
 
 
 def frequent_hashes(sets: DataFrame, n_docs: int) -> np.ndarray:
@@ -322,15 +354,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest = rest.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "pairs").orderBy("at", "sig")) - 1)
     x, y = rest.alias("x"), rest.alias("y")
     xn, yn = F.col("x.n"), F.col("y.n")
+    heavy_may_link = (F.col("x.at") <= xn - _needed(xn, yn)) & (F.col("y.at") <= yn - _needed(xn, yn)) \
+        & (F.least("x.nth", "y.nth") + 1 + F.least(xn - 1 - F.col("x.at"), yn - 1 - F.col("y.at")) >= _needed(xn, yn))
     met = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
                  & _sizes_fit(xn, yn) & (F.col("x.pairs") == ((xn <= light) & (yn <= light)))
-                 & (F.col("x.pairs") | (F.least("x.nth", "y.nth") + 1 + F.least(xn - 1 - F.col("x.at"), yn - 1 - F.col("y.at")) >= _needed(xn, yn))))
-    # overlap: the shared prefix elements, and at most what stands behind the last one
-    # and behind a prefix
-    behind = F.least(F.max(xn) - 1 - F.max("x.at"), F.max(yn) - 1 - F.max("y.at"), F.greatest(_behind(F.max(xn)), _behind(F.max(yn))))
-    pairs = met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")) \
-        .agg(F.max("x.pairs").alias("light"), (F.count(F.lit(1)) + behind).alias("most"), _needed(F.max(xn), F.max(yn)).alias("needed")) \
-        .filter(F.col("light") | (F.col("most") >= F.col("needed")))
+                 & (F.col("x.pairs") | heavy_may_link))
+    # overlap: the shared elements found, and at most what stands behind the last one
+    pairs = met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), xn.alias("n_a"), yn.alias("n_b")) \
+        .agg(F.max("x.pairs").alias("light"), F.count(F.lit(1)).alias("shared"), F.max("x.at").alias("at_a"), F.max("y.at").alias("at_b"))
+    needed = _needed(F.col("n_a"), F.col("n_b"))
+    pairs = pairs.filter(F.col("light") | (F.col("shared") + F.least(F.col("n_a") - 1 - F.col("at_a"), F.col("n_b") - 1 - F.col("at_b")) >= needed))
+    bits_of = lambda c: own.select(F.col("doc_id").alias(c), F.col("n").cast("int").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    pairs = pairs.select("a", "n_a", "b", "n_b", (F.col("n_a") + F.col("n_b") - 2 * needed).alias("apart")) \
+        .join(bits_of("a"), ["a", "n_a"]).join(bits_of("b"), ["b", "n_b"]) \
+        .select("a", "b", "bits_a", "bits_b", "apart").mapInArrow(_near_enough, "a long, b long").distinct()
     more = written(verified(docs, pairs), "rest-links")
     if not more.isEmpty():
         found = components(links.union(more))

@@ -59,6 +59,37 @@ def test_jaccard_components(spark, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(texts)
 
 
+def test_bitmaps_differ_in_no_more_bits_than_the_sets_have_elements_apart():
+    r = np.random.default_rng(5)
+    for n, m in ((1, 1), (3, 4), (200, 260), (300, 255), (3000, 4000)):
+        common = r.integers(0, 2**64, min(n, m) // 2, dtype=np.uint64)
+        x, y = (np.unique(np.concatenate([common, r.integers(0, 2**64, k - len(common), dtype=np.uint64)])) for k in (n, m))
+        apart = len(np.setxor1d(x, y))
+        got = jaccard.bits_apart(jaccard.parity_bitmap(x), jaccard.parity_bitmap(y))
+        assert apart / 2 < got <= apart
+        assert jaccard.bits_apart(jaccard.parity_bitmap(x), jaccard.parity_bitmap(x)) == 0
+
+
+def test_jaccard_of_one_base_edited_many_times(spark):
+    r = random.Random(9)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for _ in range(150):
+        w = base[:]
+        for _ in range(r.randint(0, 7)):
+            w[r.randrange(len(w))] = f"e{r.randint(0, 9999)}"
+        texts.append(" ".join(w[:r.randint(85, 120)]))
+    got = jaccard.jaccard_components(docs(spark, list(enumerate(texts)))).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(texts)
+
+
+def test_jaccard_of_texts_with_one_id(spark):
+    long = " ".join(f"w{k}" for k in range(300))
+    short = " ".join(f"v{k}" for k in range(40))
+    got = jaccard.jaccard_components(docs(spark, [(5, long), (5, short), (7, short + " x"), (8, long + " y"), (9, "other words only")])).collect()
+    assert sorted((x.doc_id, x.component_id) for x in got) == [(5, 5), (5, 5), (7, 5), (8, 5), (9, 9)]
+
+
 def test_jaccard_edge_tables(spark):
     assert jaccard.jaccard_components(docs(spark, [])).count() == 0
     got = jaccard.jaccard_components(docs(spark, [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (1, "A b c d e f")])).collect()
