@@ -11,8 +11,9 @@ Two sets link when 100 * intersection >= 75 * union. The order of elements is
 * ``B`` is where the counted cost is least: the subsets that all light sets of each
   size would enumerate against the list entries they would scan.
 
-Frequent elements are those found often within some block of documents and in at
-least 1 / ``RARE`` of all documents; the list (at most ``MOST_FREQUENT`` hashes, the
+Frequent elements are those found often within some block of documents (in 1 /
+``RARE`` of it) and at least ``FREQUENT`` times in such blocks, whatever the number of
+documents, so that lists of rarer ones do not grow with the input; the list (at most ``MOST_FREQUENT`` hashes, the
 most frequent) only sets the order, so no link depends on it.
 
 Links, not all pairs: copies of one set are linked to its smallest id. In each list
@@ -48,6 +49,7 @@ from .shingles import shingle_sets
 MOST_LIGHT = 64
 RARE = 4000
 MOST_FREQUENT = 500_000
+FREQUENT = 16
 #: Elements counted together when frequent ones are looked for, and the least count.
 COUNT_BLOCK, LOCAL_LEAST = 4_000_000, 2
 #: Pairs of one leader that are verified together.
@@ -129,10 +131,10 @@ def described(docs: DataFrame) -> DataFrame:
     return written(d.mapInArrow(_describe, "doc_id long, n long, key binary, bits binary, small binary, often long"), "shingle-sets")
 
 
-def frequent_hashes(sets: DataFrame, n_docs: int) -> np.ndarray:
+def frequent_hashes(sets: DataFrame) -> np.ndarray:
     """A sorted list of at most MOST_FREQUENT hashes."""
     f = sets.filter(F.col("key").isNull()).groupBy("often").agg(F.sum("n").alias("n")) \
-        .filter(F.col("n") >= max(8 * LOCAL_LEAST, n_docs // RARE))
+        .filter(F.col("n") >= FREQUENT)
     top = f.orderBy(F.desc("n"), "often").limit(MOST_FREQUENT).select("often").toArrow()
     return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
@@ -334,12 +336,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shipped(docs.sparkSession)
     sets = described(docs)
     own = sets.filter(F.col("key").isNotNull())
-    n_docs = own.count()
     keyed = own.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select("doc_id", "key")
     copies = keyed.join(keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1"), "key") \
         .select("a", F.col("doc_id").alias("b")).filter("a <> b")
     light = boundary(sets)
-    lists = shared_lists(docs, light, frequent_hashes(sets, n_docs))
+    lists = shared_lists(docs, light, frequent_hashes(sets))
 
     leads = [lists.select("doc_id", "n", "pairs", F.col(f"lead_{k}").alias("lead"), F.col(f"n_{k}").alias("lead_n")) for k in (0, 1)]
     star = _star_pairs(leads[0], light).union(_star_pairs(leads[1], light)).select("a", "b").distinct()
