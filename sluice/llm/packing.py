@@ -16,7 +16,9 @@ the plan with the fewest sequences is kept. Spark then ranks the pieces of each
 
 Token ids: the byte-level vocabulary of ``byte_bpe_50k``; special-token strings in a
 text are ordinary text; id 2 ends each document. The ids come from the vocabulary's
-rank file, which gives the same ids as the ``tokenizers`` file several times faster.
+rank file, which gives the same ids as the ``tokenizers`` file several times faster;
+texts with a long run of white space, on which the rank file's reader fails, are read
+with ``tokenizers``.
 
 Defined cases: a null or empty text is the single token 2; repeated rows and null ids
 are packed like other documents; an empty table gives no rows. Extra columns are
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -46,6 +49,8 @@ SMALL = 8
 GROUPS = (16, 64, 256, 100_000)
 #: Pieces ranked together.
 RANK_BLOCK = 50_000
+#: White space in a row from which tokenizers reads the text (tiktoken fails near 1,000,000).
+LONG_SPACE = 100_000
 
 
 # -- tokens ----------------------------------------------------------------------
@@ -59,9 +64,23 @@ def _encoder(ranks_path: str):
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def _tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+def _long_space(text: str) -> bool:
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in re.finditer(r"\s+", text))
+
+
 def token_ids(ranks_path: str, text: str) -> np.ndarray:
     """Ids of one document, with the ending id."""
-    return np.array([*_encoder(ranks_path).encode_ordinary(text), END], dtype="<u4")
+    ids = _tokenizer().encode(text, add_special_tokens=False).ids if _long_space(text) else _encoder(ranks_path).encode_ordinary(text)
+    return np.array([*ids, END], dtype="<u4")
 
 
 def _cut(ranks_path: str, capacity: int):

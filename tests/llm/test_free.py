@@ -134,6 +134,18 @@ def test_packing(spark):
     assert packing.packed(docs(spark, [])).count() == 0
 
 
+def test_packing_of_long_white_space(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["w" + 2_000_000 * " " + "x", "w" + 2_000_000 * "\n" + "x", "a " * 100_000 + 99_999 * "\t\u3000" + "b"]
+    rows = packing.packed(docs(spark, list(enumerate(texts)))).collect()
+    for k, x in enumerate(texts):
+        want = np.array([*t.encode(x, add_special_tokens=False).ids, 2], dtype="<u4")
+        ps = sorted((p for p in rows if p.doc_id == k), key=lambda p: p.start)
+        assert sum(p.length for p in ps) == len(want)
+        assert all(p.ids_crc32 == zlib.crc32(want[p.start:p.start + p.length].tobytes()) for p in ps)
+
+
 def test_pieces_without_dropout_equal_the_library_and_decode_with_it(spark):
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")
