@@ -43,7 +43,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents left into token sequences."""
-    return packing.packed(docs)
+    return packing.packed(docs, special=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("secret_scans", secret_scans),

@@ -14,11 +14,11 @@ consecutive sequences at one offset. Several group counts are tried on the count
 the plan with the fewest sequences is kept. Spark then ranks the pieces of each length
 (in blocks, so that no length is ranked by one task) and joins them with the slots.
 
-Token ids: the byte-level vocabulary of ``byte_bpe_50k``; special-token strings in a
-text are ordinary text; id 2 ends each document. The ids come from the vocabulary's
-rank file, which gives the same ids as the ``tokenizers`` file several times faster;
-texts with a long run of white space, on which the rank file's reader fails, are read
-with ``tokenizers``.
+Token ids: those of ``tokenizers`` with ``byte_bpe_50k.json`` and its default settings,
+so ``<|endoftext|>`` in a text is the file's added token (``special=False``: ordinary
+text); id 2 ends each document. The ids come from the vocabulary's rank file, which
+gives the same ids several times faster; texts with an added token, or with a long run
+of white space, on which the rank file's reader fails, are read with ``tokenizers``.
 
 Defined cases: a null or empty text is the single token 2; repeated rows and null ids
 are packed like other documents; an empty table gives no rows. Extra columns are
@@ -65,30 +65,35 @@ def _encoder(ranks_path: str):
 
 
 @lru_cache(maxsize=2)
-def _tokenizer():
+def _tokenizer(special: bool):
+    """The tokenizer, and the strings of its added tokens if they are read as such."""
     import public_tokenizers
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    t.encode_special_tokens = not special
+    return t, [a.content for a in t.get_added_tokens_decoder().values()] if special else []
 
 
 def _long_space(text: str) -> bool:
     return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in re.finditer(r"\s+", text))
 
 
-def token_ids(ranks_path: str, text: str) -> np.ndarray:
+def token_ids(ranks_path: str, text: str, special: bool = False) -> np.ndarray:
     """Ids of one document, with the ending id."""
-    ids = _tokenizer().encode(text, add_special_tokens=False).ids if _long_space(text) else _encoder(ranks_path).encode_ordinary(text)
+    tokenizer, added = _tokenizer(special)
+    if any(a in text for a in added) or _long_space(text):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+    else:
+        ids = _encoder(ranks_path).encode_ordinary(text)
     return np.array([*ids, END], dtype="<u4")
 
 
-def _cut(ranks_path: str, capacity: int):
+def _cut(ranks_path: str, capacity: int, special: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = token_ids(ranks_path, text.as_py())
+                ids = token_ids(ranks_path, text.as_py(), special)
                 first = len(ids) - capacity * (-(-len(ids) // capacity) - 1)
                 start, end, piece = 0, first, 0
                 while start < len(ids):
@@ -103,9 +108,9 @@ def _cut(ranks_path: str, capacity: int):
 _PIECE = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
-def pieces(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, special: bool = False) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return d.mapInArrow(_cut(ranks_path, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return d.mapInArrow(_cut(ranks_path, capacity, special), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # -- plan, from counts by length ---------------------------------------------------
@@ -245,13 +250,13 @@ def _ranked(cut: DataFrame, n: int) -> DataFrame:
         .withColumn("rank", F.col("before") + F.col("inner")).drop("block", "inner", "before")
 
 
-def packed(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def packed(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPACITY, special: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     shipped(docs.sparkSession)
     if ranks_path is None:
         import public_tokenizers
         ranks_path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    cut = written(pieces(docs, ranks_path, capacity), "pieces")
+    cut = written(pieces(docs, ranks_path, capacity, special), "pieces")
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most CAPACITY numbers
     if not counts:
         none = F.lit(None).cast("long")
@@ -272,4 +277,4 @@ def literal_table(spark: SparkSession, slots: list[tuple[int, int, int, int, int
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(documents(spark, sf_dir).select("doc_id", "text"))
+    return packed(documents(spark, sf_dir).select("doc_id", "text"), special=True)

@@ -146,6 +146,19 @@ def test_packing_of_long_white_space(spark):
         assert all(p.ids_crc32 == zlib.crc32(want[p.start:p.start + p.length].tobytes()) for p in ps)
 
 
+def test_packing_query_and_stage_read_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|> x", "a  <|endoftext|>\n\n<|endoftext|>b", "<|endoftext", "plain"]
+    assert t.encode(texts[0], add_special_tokens=False).ids == [50256, 2124]
+    d = docs(spark, list(enumerate(texts)))
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {k: zlib.crc32(np.array([*t.encode(x, add_special_tokens=False).ids, 2], dtype="<u4").tobytes()) for k, x in enumerate(texts)}
+    for got in (packing.op10_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, d, str(tmp_path))):
+        assert {r.doc_id: r.ids_crc32 for r in got.collect()} == want
+
+
 def test_pieces_without_dropout_equal_the_library_and_decode_with_it(spark):
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")
