@@ -2,15 +2,17 @@
 
 The agenda holds all merges of neighbouring symbols that the model knows; the one
 with the best score (then the leftmost) is applied, until none is left. With dropout,
-a candidate merge is skipped if a hash keyed by seed, variant, place and the two
-symbols falls below the rate, so the same seed always gives the same segmentation
-and other seeds, documents and places give others. Skipped merges only leave smaller
-pieces, so every segmentation decodes to the same text.
+a candidate merge is skipped if a hash keyed by seed, document, the segment's place
+in the document, place in the segment and the two symbols falls below the rate, so
+the same seed always gives the same segmentation and other seeds, documents and places
+give others, each with the rate of its own. Skipped merges only leave smaller pieces,
+so every segmentation decodes to the same text.
 
 Merges never cross a word start (no piece of the model has its space mark behind
 another character) or a character without a piece, so a text falls into segments.
-Equal segments with equal variants are encoded once per block; all segments of a
-block advance together, one merge a round.
+Equal segments are encoded once per block without dropout. An occurrence for which
+none of the merges met there is skipped has that encoding; every other occurrence is
+encoded by itself. All these segments advance together, one merge a round.
 
 Characters without a piece, and the space mark itself when a text contains it, become
 byte pieces. Defined cases: a null or empty text has no ids and decodes to the empty
@@ -34,12 +36,12 @@ from .common import documents, shipped, text_or_empty
 
 SEED = 20240201
 RATE = 0.1
-#: Segmentations that equal segments may have (beside each other in one corpus).
-VARIANTS = 4
 MARK = "▁"
 BLOCK_CHARS = 2 << 20
 #: Longer segments are encoded one by one with a heap.
 LONG = 256
+#: Occurrences looked at together for skips.
+SHARE_ROWS = 50_000
 TABLE_BITS = 20
 NEVER = np.int32(2**31 - 1)
 
@@ -111,15 +113,16 @@ def model(path: str) -> Model:
     return Model(path)
 
 
-def skipped(seed: int, variant, place, left, right, rate: float):
-    """Is this candidate merge dropped? (arrays or numbers)"""
+def skipped(key, place, left, right, rate: float):
+    """Is this candidate merge dropped? (arrays or numbers; ``key``: of the seed and
+    the segment's occurrence)"""
     with np.errstate(over="ignore"):
         u = lambda x: np.asarray(x).astype(np.uint64)
-        h = _mixed(_mixed(u(variant) * _A + u(seed % 2**63)) + u(place) * _B + u(left) * _C + u(right) * _A)
+        h = _mixed(u(key) + u(place) * _B + u(left) * _C + u(right) * _A)
     return (h >> np.uint64(11)).astype(np.float64) < rate * 2.0**53
 
 
-def agenda(m: Model, symbols: list[int], variant: int, seed: int, rate: float) -> list[int]:
+def agenda(m: Model, symbols: list[int], key: np.uint64, rate: float) -> list[int]:
     """One segment by a heap."""
     n = len(symbols)
     sym, nxt, prev, alive = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
@@ -131,7 +134,7 @@ def agenda(m: Model, symbols: list[int], variant: int, seed: int, rate: float) -
             return
         left, right = np.array([sym[k] for k in ks]), np.array([sym[nxt[k]] for k in ks])
         rank, merged = m.merges(left, right)
-        drop = skipped(seed, variant, ks, left, right, rate)
+        drop = skipped(key, ks, left, right, rate)
         for k, a, b, r, x, d in zip(ks, left, right, rank, merged, drop, strict=True):
             if r != NEVER and not d:
                 heapq.heappush(heap, (int(r), k, int(a), int(b), int(x)))
@@ -149,26 +152,30 @@ def agenda(m: Model, symbols: list[int], variant: int, seed: int, rate: float) -
     return [s for s, a in zip(sym, alive, strict=True) if a]
 
 
-def _candidates(m: Model, sym, seg, variant, place, at, seed, rate) -> tuple[np.ndarray, np.ndarray]:
-    """Rank and result of merging the symbols at ``at`` with the next ones."""
+def _candidates(m: Model, sym, seg, keys, place, at, rate, met) -> tuple[np.ndarray, np.ndarray]:
+    """Rank and result of merging the symbols at ``at`` with the next ones; ``met``
+    collects the candidates."""
     last = at + 1 >= len(sym)
     after = np.where(last, at, at + 1)
     rank, merged = m.merges(sym[at], sym[after])
     rank[last | (seg[at] != seg[after])] = NEVER
-    if rate > 0:
+    if rate > 0 or met is not None:
         ask = np.flatnonzero(rank != NEVER)
         k = at[ask]
-        rank[ask[skipped(seed, variant[seg[k]], place[k], sym[k], sym[k + 1], rate)]] = NEVER
+        if met is not None:
+            met.append((seg[k], place[k], sym[k], sym[k + 1]))
+        if rate > 0:
+            rank[ask[skipped(keys[seg[k]], place[k], sym[k], sym[k + 1], rate)]] = NEVER
     return rank, merged
 
 
-def _advance(m: Model, sym: np.ndarray, seg: np.ndarray, variant: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+def _advance(m: Model, sym: np.ndarray, seg: np.ndarray, keys: np.ndarray, rate: float, met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All segments together, one merge each a round. seg: segment of each symbol,
     ascending. Returns the final symbols and their segments."""
     seg = seg.astype(np.int32)
     place = (np.arange(len(sym)) - np.searchsorted(seg, seg)).astype(np.int32)
     done_sym, done_seg = [], []
-    rank, merged = _candidates(m, sym, seg, variant, place, np.arange(len(sym)), seed, rate)
+    rank, merged = _candidates(m, sym, seg, keys, place, np.arange(len(sym)), rate, met)
     while len(sym):
         edge = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
         size = np.diff(np.append(edge, len(seg)))
@@ -191,7 +198,7 @@ def _advance(m: Model, sym: np.ndarray, seg: np.ndarray, variant: np.ndarray, se
         now = pick - np.arange(len(pick))
         before = now[now > 0] - 1
         again = np.concatenate([now, before[seg[before] == seg[before + 1]]])
-        rank[again], merged[again] = _candidates(m, sym, seg, variant, place, again, seed, rate)
+        rank[again], merged[again] = _candidates(m, sym, seg, keys, place, again, rate, met)
     sym, seg = np.concatenate(done_sym or [sym]), np.concatenate(done_seg or [seg])
     order = np.argsort(seg, kind="stable")
     return sym[order], seg[order]
@@ -221,28 +228,27 @@ def encode_block(m: Model, texts: list[str], keys: np.ndarray, seed: int, rate:
     doc = np.searchsorted(ends, start, "right")
     with np.errstate(over="ignore"):
         nth = (np.arange(len(start)) - np.searchsorted(doc, doc)).astype(np.uint64)
-        variant = (_mixed(_mixed(keys[doc] + np.uint64(seed % 2**63)) + nth * _A) % np.uint64(VARIANTS)).astype(np.int64) if rate > 0 else np.zeros(len(start), dtype=np.int64)
+        own = _mixed(_mixed(keys[doc] + np.uint64(seed % 2**63)) + nth * _A)
         inside = (np.arange(len(sym)) - np.repeat(start, size)).astype(np.uint64)
         h = np.add.reduceat(_mixed((points.astype(np.uint64) + np.uint64(1)) * _A + (inside + np.uint64(1)) * _C), start)
-        h = _mixed(h + size.astype(np.uint64) * _B + variant.astype(np.uint64) * _C)
+        h = _mixed(h + size.astype(np.uint64) * _B)
     _, which, back = np.unique(h, return_index=True, return_inverse=True)
-    u_start, u_size, u_variant = start[which], size[which], variant[which]
-    long = u_size > LONG
-    take = np.where(long, 0, u_size)
-    at = np.repeat(u_start - (np.cumsum(take) - take), take) + np.arange(take.sum())
-    out_sym, out_seg = _advance(m, sym[at], np.repeat(np.arange(len(take)), take), u_variant, seed, rate)
-    extra_sym, extra_seg, odd = [], [], out_sym < 0
-    for k in np.flatnonzero(odd):  # characters without a piece
-        b = chr(points[u_start[out_seg[k]]]).encode()
-        extra_sym.append(m.bytes[np.frombuffer(b, dtype=np.uint8)]), extra_seg.append(np.full(len(b), out_seg[k]))
-    for k in np.flatnonzero(long):
-        ids = agenda(m, sym[u_start[k]:u_start[k] + u_size[k]].tolist(), int(u_variant[k]), seed, rate)
-        extra_sym.append(np.array(ids, dtype=np.int32)), extra_seg.append(np.full(len(ids), k))
-    if extra_sym:
-        out_sym, out_seg = np.concatenate([out_sym[~odd], *extra_sym]), np.concatenate([out_seg[~odd], *extra_seg])
+    long = size > LONG
+    met: list | None = [] if rate > 0 else None
+    part = [_encoded(m, sym, points, start[which], np.where(long[which], 0, size[which]), own[which], 0.0, met)]
+    # segments with a skip, and long ones: an encoding of their own
+    alone = np.flatnonzero(long | (_any_skip(met, len(which), back, own, rate) if rate > 0 else False))
+    back[alone] = len(which) + np.arange(len(alone))
+    part.append(_encoded(m, sym, points, start[alone], np.where(long[alone], 0, size[alone]), own[alone], rate))
+    ids_at = np.flatnonzero(long[alone])
+    heaps = [np.array(agenda(m, sym[start[k]:start[k] + size[k]].tolist(), own[k], rate), dtype=np.int32) for k in alone[ids_at]]
+    part.append((np.concatenate(heaps or [np.empty(0, dtype=np.int32)]), np.repeat(ids_at, [len(x) for x in heaps])))
+    out_sym = np.concatenate([x for x, _ in part])
+    out_seg = np.concatenate([part[0][1], part[1][1] + len(which), part[2][1] + len(which)])
+    if heaps:
         order = np.argsort(out_seg, kind="stable")
         out_sym, out_seg = out_sym[order], out_seg[order]
-    count = np.bincount(out_seg, minlength=len(take))
+    count = np.bincount(out_seg, minlength=len(which) + len(alone))
     first = np.cumsum(count) - count
     each = count[back]
     ids = out_sym[np.repeat(first[back] - (np.cumsum(each) - each), each) + np.arange(each.sum())].astype(np.int32)
@@ -250,6 +256,41 @@ def encode_block(m: Model, texts: list[str], keys: np.ndarray, seed: int, rate:
     return np.split(ids, np.cumsum(per_doc)[:-1])
 
 
+def _encoded(m: Model, sym, points, start, size, keys, rate: float, met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the segments at ``start`` and the segment of each id, ascending."""
+    at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    out_sym, out_seg = _advance(m, sym[at], np.repeat(np.arange(len(size)), size), keys, rate, met)
+    odd = out_sym < 0
+    if not odd.any():
+        return out_sym, out_seg
+    extra_sym, extra_seg = [], []
+    for k in np.flatnonzero(odd):  # characters without a piece
+        b = chr(points[start[out_seg[k]]]).encode()
+        extra_sym.append(m.bytes[np.frombuffer(b, dtype=np.uint8)]), extra_seg.append(np.full(len(b), out_seg[k]))
+    out_sym, out_seg = np.concatenate([out_sym[~odd], *extra_sym]), np.concatenate([out_seg[~odd], *extra_seg])
+    order = np.argsort(out_seg, kind="stable")
+    return out_sym[order], out_seg[order]
+
+
+def _any_skip(met: list, n: int, which: np.ndarray, own: np.ndarray, rate: float) -> np.ndarray:
+    """Is any merge met without dropout skipped for this occurrence? ``which``: the
+    encoding, of ``n``, that each occurrence would share."""
+    seg, place, left, right = (np.concatenate(x) for x in zip(*met, strict=True))
+    order = np.argsort(seg, kind="stable")
+    place, left, right = place[order], left[order], right[order]
+    count = np.bincount(seg, minlength=n)
+    first = np.cumsum(count) - count
+    out = np.zeros(len(which), dtype=bool)
+    for a in range(0, len(which), SHARE_ROWS):
+        w = which[a:a + SHARE_ROWS]
+        k = count[w]
+        at = np.repeat(first[w] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+        of = np.repeat(np.arange(len(w)), k)
+        drop = skipped(own[a + of], place[at], left[at], right[at], rate)
+        out[a + of[drop]] = True
+    return out
+
+
 def decode(m: Model, ids) -> str:
     return b"".join(map(m.text.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))[1:].decode()
 

@@ -188,6 +188,36 @@ def test_rounds_equal_the_heap(monkeypatch):
     assert all((x == y).all() for x, y in zip(a, b))
 
 
+def test_dropout_is_drawn_for_each_occurrence():
+    m = pieces.model(public_tokenizers.path("piece_bpe_32k.model"))
+    n = 4000
+    keys = np.arange(n, dtype=np.uint64)
+    # one candidate merge: dropped at the rate
+    rank, _ = m.merges(np.full(1, m.mark), m.char[[ord("a")]])
+    assert rank[0] != pieces.NEVER
+    one = pieces.encode_block(m, ["a"] * n, keys, 3, 0.1)
+    assert 0.08 < sum(len(x) == 2 for x in one) / n < 0.12
+    # also by place in one document
+    row = pieces.encode_block(m, ["a" + " a" * (n - 1)], keys[:1], 3, 0.1)[0]
+    assert 0.08 < (len(row) - n) / n < 0.12
+    many = pieces.encode_block(m, ["internationalization"] * n, keys, 3, 0.1)
+    assert len({x.tobytes() for x in many}) > 50
+    assert all(pieces.decode(m, x) == "internationalization" for x in many)
+
+
+def test_shared_encodings_equal_the_heap():
+    m = pieces.model(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["the quick fox the quick fox over the internationalization é☃ the"] * 200
+    keys = np.arange(200, dtype=np.uint64)
+    a = pieces.encode_block(m, texts, keys, 3, 0.1)
+    long, pieces.LONG = pieces.LONG, 1
+    try:
+        b = pieces.encode_block(m, texts, keys, 3, 0.1)
+    finally:
+        pieces.LONG = long
+    assert all((x == y).all() for x, y in zip(a, b, strict=True))
+
+
 def test_pii_base_spans_by_plain_regex():
     r = random.Random(3)
     bits = ["a@b.co", "x@@y.z", "1.2.3.4", "300.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (564) 555-4526", "+12", " ", "foo", "@", ".", "9" * 20]
