@@ -8,7 +8,8 @@ thinned by the same rule, is the sketch of the two documents together.
 
 ``next`` documents are found by blocks of ``BLOCK`` consecutive ids: one shuffle
 deals the texts out by block, and the first row of a block is also put after the
-last row of the block before it.
+last row of the block before it. Sketches are made after that shuffle, so only texts
+are moved.
 
 Defined cases: a null text is empty; a text without words has an empty sketch
 (likeness 1 to another empty one, 0 to others); equal ids follow each other by
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, documents, small_side, text_or_empty, words, written
 
-#: Share of the hash range that is kept: 1 / SCALE.
+#: Share of the hash range that is kept: 1 / SCALE; QUERY_SCALE in the query, as
+#: ordinary documents are short.
 SCALE = 16
+QUERY_SCALE = 2
 SHINGLE = 5
 BLOCK = 256
 
@@ -98,20 +101,20 @@ def with_next(rows: DataFrame, cols: list[str]) -> DataFrame:
     return out.withColumn("next", F.when(F.col("doc_id").isNotNull(), F.col("next"))).drop("first", "before", "at")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """Per document: its sketch, its edited text's, the next document's."""
-    d = sketched(docs.select("doc_id", text_or_empty().alias("text")), "text", "sketch")
-    n = with_next(d, ["text", "sketch"])
+    n = with_next(docs.select("doc_id", text_or_empty().alias("text")), ["text"])
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - quarter),
                       F.substring(F.coalesce(F.col("next")["text"], F.lit("")), F.lit(1), quarter))
-    e = n.select("doc_id", F.length("text").cast("long").alias("n_chars"), "sketch", F.col("next")["sketch"].alias("next_sketch"),
+    e = n.select("doc_id", F.length("text").cast("long").alias("n_chars"), "text", F.col("next")["text"].alias("next_text"),
                  edited.alias("edited"))
-    return sketched(e, "edited", "edited_sketch")
+    s = sketched(sketched(sketched(e, "text", "sketch", scale).drop("text"), "edited", "edited_sketch", scale), "next_text", "next_sketch", scale)
+    return s.withColumn("next_sketch", F.when(F.col("next_text").isNotNull(), F.col("next_sketch"))).drop("next_text")
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = fingerprints(documents(spark, sf_dir))
+    f = fingerprints(documents(spark, sf_dir), QUERY_SCALE)
     empty = F.array().cast("array<bigint>")
     nxt = F.coalesce("next_sketch", empty)
     return f.select(
