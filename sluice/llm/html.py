@@ -13,7 +13,9 @@ order by a blank line. Scripts, styles, forms' controls, the head and comments o
 markup are never text.
 
 Defined cases: a null or empty page, or one without content, has the empty text;
-unclosed and misplaced tags are closed where a browser would close blocks; text
+unclosed and misplaced tags are closed where a browser would close blocks, an open
+head at the first element or text that cannot stand in it, and an open element that is
+never text with the block around it (without one it goes to the page's end); text
 without any element is one block; repeated rows and null ids are pages like others; an
 empty table gives no rows. Extra columns are ignored.
 """
@@ -39,6 +41,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head script style noscript template svg canvas iframe object button select option textarea title audio video "
                     "datalist math".split())
+#: Elements that may stand in a head; any other start tag, or text, ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: Elements that a new one of these closes if still open, up to the given parents.
 CLOSED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
              "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
@@ -74,11 +78,23 @@ class Page(HTMLParser):
         del self.stack[depth:]
         self.links, self.new = 0, True
 
+    def _inside_dropped(self, tag: str) -> None:
+        """Keeps the elements open inside a dropped one, so that the end tag of an
+        enclosing block is known from theirs."""
+        if tag == "select" and tag in self.dropped:  # ends the open one
+            del self.dropped[self.dropped.index(tag):]
+        elif tag == self.dropped[-1] and tag in ("button", "option"):  # ends it and opens another
+            return
+        elif tag in DROPPED or tag not in INLINE and tag not in VOID:
+            self.dropped.append(tag)
+
     def handle_starttag(self, tag, attrs):
         if self.dropped:
-            if tag == self.dropped[-1]:
-                self.dropped.append(tag)
-            return
+            if self.dropped[0] == "head" and (tag == "body" or len(self.dropped) == 1 and tag not in IN_HEAD):
+                self.dropped.clear()
+            else:
+                self._inside_dropped(tag)
+                return
         if tag in DROPPED:
             self.dropped.append(tag)
             return
@@ -111,15 +127,21 @@ class Page(HTMLParser):
         self.stack.append(len(self.blocks) - 1)
 
     def handle_startendtag(self, tag, attrs):
+        if "svg" in self.dropped or "math" in self.dropped:  # closed in foreign elements only
+            return
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag in DROPPED:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
         if self.dropped:
-            if tag == self.dropped[-1]:
-                self.dropped.pop()
-            return
+            if tag in self.dropped:
+                while self.dropped.pop() != tag:
+                    pass
+                return
+            if tag in INLINE or all(self.blocks[k].tag != tag for k in self.stack):
+                return
+            self.dropped.clear()  # an enclosing block closes
         if tag == "a":
             self.links = 0
         elif tag not in INLINE:
@@ -129,6 +151,8 @@ class Page(HTMLParser):
                     break
 
     def handle_data(self, data):
+        if self.dropped == ["head"] and data.strip():
+            self.dropped.clear()
         if self.dropped:
             return
         here = self.stack[-1]
