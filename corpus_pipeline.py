@@ -16,8 +16,9 @@ from sluice.llm.common import SPACE, documents, written
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality rules reject."""
-    dropped = quality.judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__id"))
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    dropped = quality.judge(docs, with_hash=True).filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("text_hash").alias("__hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__host")) & quality.text_hash().eqNullSafe(F.col("__hash"))
+    return docs.join(dropped, same, "left_anti")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +29,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the smallest id."""
-    found = jaccard.jaccard_components(docs)
-    others = found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(others, F.col("doc_id") == F.col("__id"), "left_anti")
+    """One document of each near-duplicate group stays: the smallest id, null last.
+    The groups are those of numbered rows, as ids can be null or repeated."""
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    found = jaccard.jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text"))
+    others = written(found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group")), "near-groups")
+    members = others.union(others.select(F.col("group").alias("__row"), "group").distinct())
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")
+    stay = members.join(rows.select("__row", "doc_id"), "__row").groupBy("group").agg(F.min(order).alias("first")).select(F.col("first")["__row"].alias("__row"))
+    gone = members.select("__row").join(stay, "__row", "left_anti")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,10 +76,18 @@ def host_verdicts(judged: DataFrame, reject_rate: float = REJECT_RATE) -> DataFr
     return hosts.withColumn("host_rate", shrunk).withColumn("host_kept", shrunk <= reject_rate)
 
 
-def judge(docs: DataFrame, host: str = "source", id_col: str = "doc_id") -> DataFrame:
-    """One row per document: the counts, base_failed, failed, host figures, kept."""
+def text_hash() -> Column:
+    return F.sha2("text", 256)
+
+
+def judge(docs: DataFrame, host: str = "source", id_col: str = "doc_id", with_hash: bool = False) -> DataFrame:
+    """One row per document: the counts, base_failed, failed, host figures, kept;
+    ``with_hash`` adds the text's hash, by which rows with one id are told apart."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(host).alias("host"), F.col("text").alias("text"))
-    counted = written(failures(text_counts(d, ["doc_id", "host"])), "quality")
+    keep = ["doc_id", "host"]
+    if with_hash:
+        d, keep = d.withColumn("text_hash", text_hash()), [*keep, "text_hash"]
+    counted = written(failures(text_counts(d, keep)), "quality")
     hosts = host_verdicts(counted).withColumnRenamed("host", "__host")
     return counted.join(hosts, F.col("host").eqNullSafe(F.col("__host")), "left").drop("__host") \
         .withColumn("kept", ~F.col("failed") & F.col("host_kept"))
