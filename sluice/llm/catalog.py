@@ -1,7 +1,7 @@
 """The queries of this package and, where SQL can express them, their DuckDB SQL."""
 from __future__ import annotations
 
-from . import chat, fingerprint, html, jaccard, lines, packing, pieces, pii, quality, secrets
+from . import alignment, chat, fingerprint, html, jaccard, licenses, lines, packing, pieces, pii, quality, secrets, spelling
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -14,6 +14,9 @@ QUERIES = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_license_scans": licenses.op11_license_scans,
+    "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 SQL = {
