@@ -85,13 +85,13 @@ def metric_growth(status: DataFrame) -> DataFrame:
                     grow("channel_recovery_count").alias("recovery_growing"))
 
 
-def unhealthy_channels(status: DataFrame, every: str = "day") -> DataFrame:
-    """At each check (end of every ``every`` period) a channel whose latest
-    status is not SUCCESS is listed once."""
-    period = trunc_ntz(every, F.col(TS))
-    return (status.groupBy(CH, period.alias("check_period"))
+def unhealthy_channels(status: DataFrame, every: str = "30 seconds") -> DataFrame:
+    """At each check (end of every ``every`` interval) each channel polled since the last
+    one whose latest status is not SUCCESS (or unknown) is listed, also if it heals later."""
+    start = F.window(F.col(TS).cast("timestamp"), every).start.cast("timestamp_ntz")
+    return (status.groupBy(CH, start.alias("check_period"))
             .agg(F.max_by("status_code", TS).alias("last_status"), F.max(TS).alias("last_poll_ts"))
-            .where(F.col("last_status") != "SUCCESS"))
+            .where(~F.col("last_status").eqNullSafe("SUCCESS")))
 
 
 def throughput(records: DataFrame, ts: str = "timestamp", by: Sequence[str] = ("topic",),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.timefn import from_epoch_millis, lit_ntz
 from sluice.operators import dashboard as dash
-from sluice.operators import dedup, delivery, evolve, forecast, landing, monitor, shaping
+from sluice.operators import dedup, delivery, evolve, forecast, intervals, landing, monitor, shaping
 from sluice.operators.semantic import users_view
 from sluice.operators.spec import TableSpec
 from sluice.sources import fixtures as fx
@@ -206,7 +206,7 @@ def q_malformed_classes(spark, sf):
     return landing.malformed_classes(fx.log_records_bad(spark, sf))
 
 
-DUP_COLS = ("topic", "partition", "offset", "key", "timestamp", "push_time")
+DUP_COLS = ("topic", "partition", "offset", "key", "value", "timestamp", "push_time")
 
 
 def _dups(spark, sf):
@@ -226,7 +226,7 @@ def q_duplicate_groups(spark, sf):
 
 
 def q_distinct_copy(spark, sf):
-    return dedup.distinct_copy(_dups(spark, sf), ["topic", "partition", "offset", "key", "timestamp"])
+    return dedup.distinct_copy(_dups(spark, sf))
 
 
 def q_row_count(spark, sf):
@@ -405,11 +405,47 @@ def q_stream_dedup(spark, sf):
     q = (out.writeStream.format("parquet").option("checkpointLocation", run + "/ckpt")
          .option("path", run + "/out").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(run + "/out").select("topic", "partition", "offset", "key", "timestamp")
+    return spark.read.parquet(run + "/out").select("topic", "partition", "offset", "key", "value", "timestamp")
+
+
+def _gapped(spark, sf) -> DataFrame:
+    """The log with re-deliveries and without some records that were lost."""
+    lost = ((F.col("partition") == 1) & (F.col("offset") % 40 == 17)) | ((F.col("partition") == 2) & (F.col("offset") % 500 == 100))
+    return fx.log_records_dup(spark, sf).where(~lost)
+
+
+def q_offset_intervals(spark, sf):
+    return intervals.offset_intervals(_gapped(spark, sf))
+
+
+def q_contiguous_commits(spark, sf):
+    return intervals.contiguous_commits(intervals.offset_intervals(_gapped(spark, sf)))
+
+
+def q_contiguous_from_progress(spark, sf):
+    return intervals.contiguous_commits(intervals.offset_intervals(_gapped(spark, sf)), fx.progress(spark, sf))
+
+
+def q_stream_dedup_intervals(spark, sf):
+    """The same de-dup as ``stream_dedup`` with interval sets as its state."""
+    import uuid
+
+    from sluice.session import checkpoint_path
+    from sluice.sources.log_source import file_stream
+    from sluice.streaming.intervals import start_dedup
+    src = _stage_input(spark, fx.log_records_dup(spark, sf).repartition(6, "topic", "partition"), "log_records_dup")
+    run = checkpoint_path(spark, "stream_dedup_intervals", uuid.uuid4().hex[:10])
+    start_dedup(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)),
+                run + "/out", run + "/ckpt", {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(run + "/out").select("topic", "partition", "offset", "key", "value", "timestamp")
 
 
 QUERIES["stream_land"] = q_stream_land
 QUERIES["stream_dedup"] = q_stream_dedup
+QUERIES["offset_intervals"] = q_offset_intervals
+QUERIES["contiguous_commits"] = q_contiguous_commits
+QUERIES["contiguous_from_progress"] = q_contiguous_from_progress
+QUERIES["stream_dedup_intervals"] = q_stream_dedup_intervals
 
 
 def q_semantic_headline(spark, sf):

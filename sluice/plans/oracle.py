@@ -119,10 +119,10 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "log_records_bad": (f"""
   SELECT topic, "partition", "offset", "key", {_payload(True)} AS value, "timestamp", push_time
   FROM log_src""", ("log_src",)),
-    "log_records_dup": ("""
-  SELECT topic, "partition", "offset", "key", "timestamp", push_time FROM log_src
+    "log_records_dup": (f"""
+  SELECT topic, "partition", "offset", "key", {_payload(False)} AS value, "timestamp", push_time FROM log_src
   UNION ALL
-  SELECT topic, "partition", "offset", "key", "timestamp", push_time + 1000 FROM log_src WHERE event_id % 10 = 0""",
+  SELECT topic, "partition", "offset", "key", {_payload(False)} AS value, "timestamp", push_time + 1000 FROM log_src WHERE event_id % 10 = 0""",
                         ("log_src",)),
     "users_landed": (f"""
   SELECT CAST(event_id AS BIGINT) AS user_id,
@@ -273,7 +273,22 @@ AGE_GROUP = (f"CASE WHEN {AGE} < 25 THEN '18-24' WHEN {AGE} < 35 THEN '25-34' WH
 USERS_COLS = ("user_id, first_name, last_name, email, phone_number, address, city, state, country, "
               "date_of_birth, registration_date, CAST(order_amount AS DOUBLE) AS order_amount, ingestion_time")
 LIMITED = [(c, n) for c, _, n in USERS_DECLARED if n is not None]
-DUP_COLS = 'topic, "partition", "offset", "key", "timestamp", push_time'
+DUP_COLS = 'topic, "partition", "offset", "key", "value", "timestamp", push_time'
+SAME = 'p.topic = t.topic AND p."partition" = t."partition"'
+ISLANDS = (("present", """
+SELECT DISTINCT topic, "partition", "offset" FROM log_records_dup
+WHERE NOT (("partition" = 1 AND "offset" % 40 = 17) OR ("partition" = 2 AND "offset" % 500 = 100))"""),
+           ("islands", """
+SELECT topic, "partition", min("offset") AS lo, max("offset") AS hi FROM (
+  SELECT *, "offset" - row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS g FROM present)
+GROUP BY topic, "partition", g"""))
+STARTS = (*ISLANDS, ("starts", """
+SELECT topic, "partition", min(lo) AS first_offset, max(hi) AS highest_offset, count(*) AS n_intervals,
+       coalesce(any_value(committed) + 1, min(lo)) AS s
+FROM islands LEFT JOIN progress USING (topic, "partition") GROUP BY topic, "partition\""""),
+          ("free", f"""
+SELECT t.* FROM (SELECT topic, "partition", "offset" + 1 AS x FROM present UNION SELECT topic, "partition", s FROM starts) t
+WHERE NOT EXISTS (SELECT 1 FROM present p WHERE {SAME} AND p."offset" = t.x)"""))
 SAFE_TOKEN = safe_long("committed_token")
 
 
@@ -430,8 +445,8 @@ WHERE NOT EXISTS (
 SELECT topic, "partition", "offset", count(*) AS copies, min(push_time) AS first_push_time,
        max(push_time) AS last_push_time
 FROM log_records_dup GROUP BY topic, "partition", "offset" HAVING count(*) > 1""", "log_records_dup"),
-    "distinct_copy": with_ctes("""
-SELECT DISTINCT topic, "partition", "offset", "key", "timestamp" FROM log_records_dup""", "log_records_dup"),
+    "distinct_copy": with_ctes(f"""
+SELECT DISTINCT {DUP_COLS} FROM log_records_dup""", "log_records_dup"),
     "row_count": with_ctes("SELECT count(*) AS total_rows FROM users_landed", "users_landed"),
     "dashboard_totals": with_ctes("""
 SELECT count(*) AS total_rows, CAST(COALESCE(sum(order_amount), 0) AS DOUBLE) AS total_revenue
@@ -507,9 +522,9 @@ SELECT channel, poll_ts, latest_consumer_offset, {SAFE_TOKEN} AS persisted_offse
        latest_consumer_offset - {SAFE_TOKEN} AS ingestion_lag
 FROM channel_status""", "channel_status"),
     "unhealthy_channels": with_ctes("""
-SELECT channel, date_trunc('day', poll_ts) AS check_period, arg_max(status_code, poll_ts) AS last_status,
+SELECT channel, time_bucket(INTERVAL 30 SECOND, poll_ts) AS check_period, arg_max(status_code, poll_ts) AS last_status,
        max(poll_ts) AS last_poll_ts
-FROM channel_status GROUP BY 1, 2 HAVING arg_max(status_code, poll_ts) <> 'SUCCESS'""", "channel_status"),
+FROM channel_status GROUP BY 1, 2 HAVING arg_max(status_code, poll_ts) IS DISTINCT FROM 'SUCCESS'""", "channel_status"),
     "slowest_rows": with_ctes(f"""
 SELECT topic, "partition", "offset", epoch_ms(TIMESTAMP '{AS_OF}') - push_time AS latency_ms
 FROM log_src ORDER BY latency_ms DESC, topic, "partition", "offset" LIMIT 10""", "log_src"),
@@ -533,7 +548,22 @@ FROM fc GROUP BY tower""", "fc"),
         f"CAST({c} AS DOUBLE) AS {c}" if c == "order_amount" else c for c, _, _ in USERS_DECLARED)
         + " FROM bad_validated WHERE len(reasons) = 0", "bad_validated"),
     "stream_dedup": with_ctes("""
-SELECT DISTINCT topic, "partition", "offset", "key", "timestamp" FROM log_records_dup""", "log_records_dup"),
+SELECT DISTINCT topic, "partition", "offset", "key", "value", "timestamp" FROM log_records_dup""", "log_records_dup"),
+    "stream_dedup_intervals": with_ctes("""
+SELECT DISTINCT topic, "partition", "offset", "key", "value", "timestamp" FROM log_records_dup""", "log_records_dup"),
+    "offset_intervals": with_ctes("""
+SELECT topic, "partition", lo, hi FROM islands""", "log_records_dup", local=ISLANDS),
+    "contiguous_commits": with_ctes("""
+SELECT topic, "partition", min(lo) AS first_offset, arg_min(hi, lo) + 1 AS next_offset, max(hi) AS highest_offset,
+       count(*) AS n_intervals, CAST(max(hi) - min(lo) + 1 - sum(hi - lo + 1) AS BIGINT) AS missing,
+       arg_min(hi, lo) < max(hi) AS held_back
+FROM islands GROUP BY topic, "partition\"""", "log_records_dup", local=ISLANDS),
+    "contiguous_from_progress": with_ctes(f"""
+SELECT t.topic, t."partition", first_offset, min(x) AS next_offset, highest_offset, n_intervals,
+       CAST(greatest(highest_offset + 1 - s, 0) - (SELECT count(*) FROM present p WHERE {SAME} AND p."offset" >= s) AS BIGINT) AS missing,
+       min(x) <= highest_offset AS held_back
+FROM starts t JOIN free p ON {SAME} AND x >= s
+GROUP BY t.topic, t."partition", first_offset, highest_offset, n_intervals, s""", "log_records_dup", "progress", local=STARTS),
     "semantic_headline": with_ctes("""
 SELECT count(user_id) AS total_users, CAST(sum(order_amount) AS DOUBLE) AS total_revenue,
        round(CAST(avg(order_amount) AS DOUBLE), 4) AS avg_order_value

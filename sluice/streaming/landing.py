@@ -8,9 +8,9 @@ Per micro-batch:
 2. write the error rows first, each with its key, payload and every reason, so
    no rejected record is lost;
 3. drop re-delivered records: keep the first copy per (topic, partition,
-   offset) inside the batch, and anti-join against keys already landed by
-   earlier batches -- the landed side is read only from ``offset >=`` the
-   batch's smallest offset, so the check stays bounded;
+   offset) inside the batch, and leave out offsets that earlier batches landed.
+   Those are kept as intervals (:mod:`sluice.streaming.intervals`), as many as the
+   log has gaps, so no landed row is read again, however late a record comes;
 4. append the good rows.
 
 Each batch writes its own ``_epoch`` partition with dynamic overwrite, so a
@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from sluice.functions.timefn import from_epoch_millis
 from sluice.operators import dedup, landing
 from sluice.operators.evolve import SPARK_TYPE, evolved_columns
+from sluice.operators.intervals import not_in, offset_intervals
 from sluice.operators.spec import ColumnSpec, TableSpec
 from sluice.session import checkpoint_path
+from sluice.streaming.intervals import IntervalStore
 
 KEYS = ("topic", "partition", "offset")
 KEEP = ("topic", "partition", "offset", "key", "push_time")
@@ -109,7 +111,9 @@ def _count_errors(state: LandingState, spark: SparkSession, errors: str, epoch:
 
 
 def land_batch(batch: DataFrame, epoch: int, spec: TableSpec, target: str, errors: str,
-               state: LandingState | None = None, text_fixes: dict | None = None) -> None:
+               state: LandingState | None = None, text_fixes: dict | None = None,
+               intervals: str | None = None) -> None:
+    """``intervals``: folder of the sets of landed offsets (default: beside the target)."""
     spark = batch.sparkSession
     if spec.evolve:
         spec = evolved_spec(batch, spec, _read_parquet(spark, target))
@@ -118,14 +122,17 @@ def land_batch(batch: DataFrame, epoch: int, spec: TableSpec, target: str, error
         good, bad = landing.split_errors(v, from_epoch_millis(F.col("push_time")), (*KEYS, "key", "value"))
         _write_epoch(bad, errors, epoch)                     # errors first
         good = dedup.keep_first(good.drop("value"), KEYS, order=("push_time",))
-        prior = _read_parquet(spark, target)
-        if prior is not None:
-            lo = v.agg(F.min("offset")).first()[0]
-            if lo is not None:
-                landed = (prior.where((F.col("_epoch") != epoch) & (F.col("offset") >= lo))
-                          .select(*KEYS))
-                good = good.join(landed, list(KEYS), "left_anti")
+        store = IntervalStore(spark, intervals or target.rstrip("/") + "-intervals")
+        seen = store.before(epoch)
+        if seen is None:                                     # a table landed without sets
+            prior = _read_parquet(spark, target)
+            seen = offset_intervals(prior.where(F.col("_epoch") < epoch)) if prior is not None else None
+        if seen is not None:
+            good = not_in(good, seen)
         _write_epoch(good, target, epoch)
+        landed = _read_parquet(spark, target)
+        if landed is not None:
+            store.write(epoch, landed.where(F.col("_epoch") == epoch).select(*KEYS), seen)
         if state is not None:
             counts = v.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_valid")).alias("e")).first()
             _count_errors(state, spark, errors, epoch, counts.e)
