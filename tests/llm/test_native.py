@@ -126,7 +126,7 @@ def test_entry_has_every_operator_and_the_pipeline():
     import __spark_entry__ as entry
     import corpus_pipeline
     names = set(entry.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "secret_scans", "best_fit_packing"]
     rows_only = {n for n in names - set(entry.oracle_sql()) if n.startswith("op") or n == "pipeline"}
     assert {n.split("_")[0] for n in rows_only} == {"op3", "op4", "op5", "op6", "op10", "op11", "op12", "op13", "pipeline"}
