@@ -6,8 +6,8 @@ offsets where tokens of both end cut them into groups; the last tokens of a grou
 linked (no token of either vocabulary is empty, so these are all pairs that end together).
 
 ``i`` and ``j = i + shift`` run over the two arrays of ends. On a diagonal, where the ends
-are equal at the current shift, blocks of 1, 2, 4 ... ends are compared at once, and halved
-again at the first block that differs, so a one-to-one stretch of n tokens costs about
+are equal at the current shift, blocks of 1, 2, 4 ... ends are compared at once; the first
+block that differs is halved again, so a one-to-one stretch of n tokens costs about
 2 log n comparisons of slices. Between stretches the smaller end moves on until both meet;
 that group gives the next shift. Long texts are aligned in windows of ``WINDOW`` bytes
 that begin at a common end.
@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from sluice.session import checkpoint_path
 
+from . import packing
 from .common import documents, shipped
-from .packing import token_ids
 
 A_RANKS, B_MODEL = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Bytes of text aligned at a time.
@@ -47,26 +47,35 @@ WINDOW = 1 << 18
 TALLY, FLUSH_BYTES = 8_000_000, 4 << 20
 
 
+class PairTexts(dict):
+    """``a|b`` of each linked pair met so far (at most one for a pair that can be linked)."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def __missing__(self, pair: int) -> str:
+        self[pair] = text = "%d|%d" % divmod(pair, self.size)
+        return text
+
+
 class Vocabularies:
-    """The bytes, lengths and decimal forms of the tokens of both vocabularies."""
+    """The bytes and lengths of the tokens of both vocabularies."""
 
     def __init__(self, a_ranks: str | None, b_model: str | None):
-        import base64
-
         import public_tokenizers
         import sentencepiece
-        self.a_ranks = a_ranks or public_tokenizers.path(A_RANKS)
-        self.pieces = sentencepiece.SentencePieceProcessor(model_file=b_model or public_tokenizers.path(B_MODEL))
-        with open(self.a_ranks, "rb") as f:
-            ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
-        self.a_bytes = [ranks.get(k, b"") for k in range(max(ranks) + 1)]
+        ranks = packing._encoder(a_ranks or public_tokenizers.path(A_RANKS))
+        self.ranks, self.pieces = ranks, sentencepiece.SentencePieceProcessor(model_file=b_model or public_tokenizers.path(B_MODEL))
+        a_bytes = {ranks.encode_single_token(x): x for x in ranks.token_byte_values()}
         sp = self.pieces
         # control and unknown pieces stand for no bytes; encoding gives none of them for a text that it can spell
         self.b_bytes = [bytes([int(sp.id_to_piece(k)[3:-1], 16)]) if sp.is_byte(k)
                         else b"" if sp.is_control(k) or sp.is_unknown(k)
                         else sp.id_to_piece(k).replace("▁", " ").encode() for k in range(sp.get_piece_size())]
-        self.a_length, self.b_length = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes))
-        self.a_text, self.b_text = ([str(k) for k in range(len(side))] for side in (self.a_bytes, self.b_bytes))
+        self.a_length = np.array([len(a_bytes.get(k, b"")) for k in range(max(a_bytes) + 1)], dtype=np.int64)
+        self.b_length = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        self.a_size, self.b_size = len(self.a_length), len(self.b_length)
+        self.texts = PairTexts(self.b_size)
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of both; none if either does not spell space + text."""
@@ -74,11 +83,12 @@ class Vocabularies:
         if not text:
             return none, none
         whole = (" " + text).encode()
-        a = token_ids(self.a_ranks, " " + text)[:-1].tolist()
         b = self.pieces.encode(text)
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+        if b"".join(map(self.b_bytes.__getitem__, b)) != whole:
             return none, none
-        return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        # the rank file's reader cuts the bytes themselves, so its tokens always spell the text
+        a = packing.token_ids("", " " + text)[:-1] if packing._long_space(text) else self.ranks.encode_to_numpy(" " + text)
+        return a.astype(np.int64), np.array(b, dtype=np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -86,43 +96,46 @@ def vocabularies(a_ranks: str | None = None, b_model: str | None = None) -> Voca
     return Vocabularies(a_ranks, b_model)
 
 
-def runs(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """The groups of two ascending lists of ends, as (i, i_end, j, j_end): a stretch of
-    n one-to-one groups comes as one row (i, i + n, j, j + n); any other group is a row of
-    its own, at least one side longer than one. What follows the last common end is left out."""
-    i, shift, n, m = 0, 0, len(a), len(b)
-    while i < n and i + shift < m:
-        j = i + shift
-        if a[i] == b[j]:
-            first, most, step = i, min(n, m - shift), 1
-            while step and i < most:
-                if step <= most - i and a[i:i + step] == b[i + shift:i + shift + step]:
+def runs(a: list[int], b: list[int]) -> np.ndarray:
+    """The groups of two ascending lists of ends, as rows (i, i_end, j, j_end): a stretch of
+    n one-to-one groups is one row (i, i + n, j, j + n); any other group is a row of its own,
+    with a side longer than one and ends that first differ. What follows the last common
+    end is left out."""
+    i, j, n, m, out = 0, 0, len(a), len(b), []
+    a.append(-1), b.append(-2)  # no block that goes beyond the ends is equal
+    while i < n and j < m:
+        x, y = a[i], b[j]
+        first_i, first_j = i, j
+        if x == y:
+            shift = j - i
+            i += 1
+            if a[i] == b[i + shift]:
+                i += 1
+                step = 2
+                while a[i:i + step] == b[i + shift:i + shift + step]:
                     i += step
-                    step *= 2
-                else:  # a block that differs: halve until the first differing end is found
-                    limit = step
-                    step //= 2
-                    while step:
-                        if step <= most - i and step < limit and a[i:i + step] == b[i + shift:i + shift + step]:
-                            i += step
-                        step //= 2
-            yield first, i, first + shift, i + shift
+                    step += step
+                while step > 1:  # a block that differs: halve it up to the first differing end
+                    step >>= 1
+                    if a[i:i + step] == b[i + shift:i + shift + step]:
+                        i += step
+            j = i + shift
         else:
-            first_i, first_j, x, y = i, j, a[i], b[j]
             while x != y:
                 if x < y:
                     i += 1
-                    if i == n:
-                        return
                     x = a[i]
+                    if x < 0:
+                        return np.array(out, dtype=np.int64).reshape(-1, 4)
                 else:
                     j += 1
-                    if j == m:
-                        return
                     y = b[j]
-            i, j = i + 1, j + 1
-            shift = j - i
-            yield first_i, i, first_j, j
+                    if y < 0:
+                        return np.array(out, dtype=np.int64).reshape(-1, 4)
+            i += 1
+            j += 1
+        out += (first_i, i, first_j, j)
+    return np.array(out, dtype=np.int64).reshape(-1, 4)
 
 
 def aligned(a_ids: np.ndarray, b_ids: np.ndarray, v: Vocabularies, window: int = WINDOW) -> tuple[int, str, np.ndarray]:
@@ -135,25 +148,24 @@ def aligned(a_ids: np.ndarray, b_ids: np.ndarray, v: Vocabularies, window: int =
     wide = window
     while i0 < len(a_ids):
         i1, j1 = int(np.searchsorted(a_ends, start + wide, "right")), int(np.searchsorted(b_ends, start + wide, "right"))
-        a_text, b_text = [v.a_text[k] for k in a_ids[i0:i1].tolist()], [v.b_text[k] for k in b_ids[j0:j1].tolist()]
-        parts, at_a, at_b, i_end, j_end = [], [], [], 0, 0
-        for i, i_end, j, j_end in runs(a_ends[i0:i1].tolist(), b_ends[j0:j1].tolist()):
-            if i_end - i == j_end - j:  # one-to-one stretch, or a group of as many tokens on both sides
-                if i_end - i == 1 or a_ends[i0 + i] == b_ends[j0 + j]:
-                    parts.extend(map("|".join, zip(a_text[i:i_end], b_text[j:j_end], strict=True)))
-                    at_a.extend(range(i, i_end))
-                    at_b.extend(range(j, j_end))
-                    continue
-            parts.append(",".join(a_text[i:i_end]) + "|" + ",".join(b_text[j:j_end]))
-            at_a.append(i_end - 1)
-            at_b.append(j_end - 1)
-        if not parts:  # no common end within the window
+        rows = runs(a_ends[i0:i1].tolist(), b_ends[j0:j1].tolist())
+        if not len(rows):  # no common end within the window
             wide *= 2
             continue
+        i, i_end, j, j_end = rows.T
+        stretch = a_ends[i0 + i] == b_ends[j0 + j]
+        number = np.where(stretch, i_end - i, 1)
+        behind = np.cumsum(number)
+        back = np.repeat(behind, number) - np.arange(behind[-1])  # 1 for the last group of a stretch
+        own = a_ids[i0 + np.repeat(i_end, number) - back] * v.b_size + b_ids[j0 + np.repeat(j_end, number) - back]
+        parts = list(map(v.texts.__getitem__, own.tolist()))
+        a_list, b_list = a_ids[i0:i1].tolist(), b_ids[j0:j1].tolist()
+        for at, (x, x_end, y, y_end) in zip((behind[~stretch] - 1).tolist(), rows[~stretch].tolist(), strict=True):
+            parts[at] = f"{a_list[x:x_end]}|{b_list[y:y_end]}"[1:-1].replace("]|[", "|").replace(" ", "")
         digest.update(((";" if groups else "") + ";".join(parts)).encode())
         groups += len(parts)
-        links.append(a_ids[i0:i1][at_a] * len(v.b_text) + b_ids[j0:j1][at_b])
-        i0, j0, wide = i0 + i_end, j0 + j_end, window
+        links.append(own)
+        i0, j0, wide = i0 + int(i_end[-1]), j0 + int(j_end[-1]), window
         start = int(a_ends[i0 - 1])
     return groups, digest.hexdigest(), np.concatenate(links)
 
@@ -183,7 +195,7 @@ def _align(a_ranks: str | None, b_model: str | None):
 
 
 def _link_type(v: Vocabularies) -> str:
-    return "<u4" if len(v.a_text) * len(v.b_text) < 2**32 else "<u8"
+    return "<u4" if v.a_size * v.b_size < 2**32 else "<u8"
 
 
 def _tally(a_ranks: str | None, b_model: str | None):
@@ -226,7 +238,7 @@ _RESULT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
 
 def pair_counts(first: DataFrame, a_ranks: str | None = None, b_model: str | None = None) -> DataFrame:
     """pair, n, best for every linked id pair of the corpus; the pair is a * size of B + b."""
-    size = len(vocabularies(a_ranks, b_model).b_text)
+    size = vocabularies(a_ranks, b_model).b_size
     counts = first.select("links").mapInArrow(_tally(a_ranks, b_model), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")) \
         .withColumn("b", F.col("pair") % size)
     return counts.join(counts.groupBy("b").agg(F.max("n").alias("most")), "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
