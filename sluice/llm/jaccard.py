@@ -18,12 +18,15 @@ most frequent) only sets the order, so no link depends on it.
 
 Links, not all pairs: copies of one set are linked to its smallest id. In each list
 every member is paired with two leaders, the smallest id and the smallest hash of an
-id; pairs that share enough of their prefix are verified and components formed. Then, exactly, every
+id; pairs that share enough of their prefix are verified and components formed. In rounds
+with other leaders, members of other components than the leader's follow, until a round
+links few, so that large groups are one component before pairs are made. Then, exactly, every
 pair in different components that can still link is verified: it shares an element among
 the first ``n - needed + 1`` of both sets (``needed``: the overlap of two linked sets of
 these sizes), can reach ``needed`` by the place of its last such element, and its parity
 bitmaps (every element flips one bit) differ in no more bits than two linked sets may
-have elements apart.
+have elements apart. The join of lists of ``BIG`` members tests the shortest form of the
+bitmaps, so that near copies below the threshold give no rows; only one of the copies of a set has postings.
 
 Defined cases: a null or empty text has an empty set, linked with nothing; one-shingle
 sets link only when equal; a row with a null id keeps its set size and has a null
@@ -56,6 +59,14 @@ COUNT_BLOCK, LOCAL_LEAST = 4_000_000, 2
 PAIRS_IN_CHUNK = 256
 #: Least bits of a set's parity bitmap, which has a power of two and two for an element.
 LEAST_BITS = 512
+#: Numbers of 64 bits of the shortest form of the bitmaps.
+FOLDS = 4
+#: Rounds of leaders at most, and the share of the documents left that a round must link
+#: for another one (1 / FEW); every pair that is left after them is verified in any case.
+#: Lists of BIG members take part; a member of a shorter one gives fewer than BIG rows.
+ROUNDS, LEADERS, FEW, BIG = 8, 6, 500, 32
+#: Set uses that may be broadcast.
+BROADCAST_USES = 250_000
 FLUSH_BYTES = 4 << 20
 
 
@@ -75,22 +86,23 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts >= max(LOCAL_LEAST, len(held) // RARE)
         values, counts = values[often].view(np.int64), counts[often].astype(np.int64)
         none = [None] * len(values)
-        return _rows(none, counts, none, none, none, values)
+        return _rows(none, counts, none, none, none, none, values)
 
     for batch in batches:
-        n, keys, bits, small = [], [], [], []
+        n, keys, bits, folds, small = [], [], [], [], []
         for s in shingle_sets(batch.column("text")):
             raw = s.tobytes()
             n.append(len(s))
             keys.append(xxhash.xxh3_128_digest(raw))
             bits.append(parity_bitmap(s))
+            folds.append(folded(bits[-1]))
             small.append(raw if len(s) <= MOST_LIGHT else None)
             held.append(s)
             size += len(s)
             if size > COUNT_BLOCK:
                 yield frequent()
                 held, size = [], 0
-        yield _rows(batch.column("doc_id"), n, keys, bits, small, [None] * len(n))
+        yield _rows(batch.column("doc_id"), n, keys, bits, folds, small, [None] * len(n))
     if held:
         yield frequent()
 
@@ -104,6 +116,11 @@ def parity_bitmap(s: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def folded(bits: bytes) -> np.ndarray:
+    """A bitmap's shortest form, as FOLDS numbers."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, dtype=np.int64).reshape(-1, FOLDS), axis=0)
+
+
 def bits_apart(x: bytes, y: bytes) -> int:
     x, y = (np.frombuffer(z, dtype=np.uint64) for z in sorted((x, y), key=len))
     while len(y) > len(x):
@@ -119,16 +136,16 @@ def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(keep)
 
 
-def _rows(doc, n, key, bits, small, often) -> pa.RecordBatch:
+def _rows(doc, n, key, bits, folds, small, often) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         doc if isinstance(doc, pa.Array) else pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
-        pa.array(bits, pa.binary()), pa.array(small, pa.binary()), pa.array(often, pa.int64())],
-        names=["doc_id", "n", "key", "bits", "small", "often"])
+        pa.array(bits, pa.binary()), pa.array(folds, pa.list_(pa.int64())), pa.array(small, pa.binary()), pa.array(often, pa.int64())],
+        names=["doc_id", "n", "key", "bits", "folds", "small", "often"])
 
 
 def described(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return written(d.mapInArrow(_describe, "doc_id long, n long, key binary, bits binary, small binary, often long"), "shingle-sets")
+    return written(d.mapInArrow(_describe, "doc_id long, n long, key binary, bits binary, folds array<long>, small binary, often long"), "shingle-sets")
 
 
 def frequent_hashes(sets: DataFrame) -> np.ndarray:
@@ -306,7 +323,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .select(F.col("a").alias("id"), F.struct("a", "chunk", F.lit(False).alias("member")).alias("use"))
     uses = written(members.union(leaders).groupBy("id").agg(F.collect_list("use").alias("uses")), "uses")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    sets = d.join(small_side(uses, uses.count(), 250_000), F.col("doc_id") == F.col("id")).select("doc_id", "text", "uses") \
+    total = uses.agg(F.sum(F.size("uses"))).first()[0] or 0
+    sets = d.join(small_side(uses, total, BROADCAST_USES), F.col("doc_id") == F.col("id")).select("doc_id", "text", "uses") \
         .mapInArrow(_used_sets, "a long, chunk long, member boolean, id long, set binary")
     return sets.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "member") \
         .mapInArrow(_linked, "a long, b long")
@@ -324,13 +342,64 @@ def _star_pairs(members: DataFrame, light: int) -> DataFrame:
 
 
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """The lists whose members are in different components."""
-    placed = lists.join(small_side(found, found.count()), F.col("doc_id") == F.col("id"), "left") \
-        .select("sig", "pairs", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("sig")
+    """The lists whose members are in different components, with their numbers of members."""
+    placed = _placed(lists, found)
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).filter("lo <> hi").select("sig", "members")
     return written(placed.join(mixed, "sig"), "mixed-lists")
 
 
+def _placed(lists: DataFrame, found: DataFrame) -> DataFrame:
+    return lists.join(small_side(found, found.count()), F.col("doc_id") == F.col("id"), "left") \
+        .drop("id").withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def _may_link(x, y, light: int) -> Column:
+    """Whether rows x and y of one list can link by their sizes and the places of their
+    shared element."""
+    xn, yn = x("n"), y("n")
+    return _sizes_fit(xn, yn) & (x("pairs") == ((xn <= light) & (yn <= light))) \
+        & (x("pairs") | ((x("at") <= xn - _needed(xn, yn)) & (y("at") <= yn - _needed(xn, yn))))
+
+
+def _folds_fit(x, y) -> Column:
+    """Whether two sets' shortest bitmaps differ in few enough bits."""
+    xn, yn = x("n"), y("n")
+    return sum(F.bit_count(x("folds")[k].bitwiseXOR(y("folds")[k])) for k in range(FOLDS)) <= xn + yn - 2 * _needed(xn, yn)
+
+
+def _leader_pairs(big: DataFrame, folds: DataFrame, light: int, turn: int) -> DataFrame:
+    """Each list's LEADERS members of least seeded hashes with the members of other components."""
+    least = lambda seed: F.min(F.struct(F.xxhash64("doc_id", F.lit(seed)).alias("h"), "doc_id", "n", "pairs", "at", "component"))
+    lead = big.groupBy("sig").agg(*[least(turn * LEADERS + k).alias(f"lead_{k}") for k in range(LEADERS)]) \
+        .select("sig", F.explode(F.array(*[f"lead_{k}" for k in range(LEADERS)])).alias("lead"))
+    met = big.join(lead, "sig").filter((F.col("component") != F.col("lead")["component"]) & _may_link(lambda c: F.col("lead")[c], F.col, light))
+    pairs = met.select(F.col("lead")["doc_id"].alias("a"), F.col("lead")["n"].alias("n_a"), F.col("doc_id").alias("b"), F.col("n").alias("n_b")).distinct()
+    of = lambda c: folds.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("folds").alias(f"folds_{c}"))
+    pairs = pairs.join(of("a"), ["a", "n_a"]).join(of("b"), ["b", "n_b"])
+    return pairs.filter(_folds_fit(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"))).select("a", "b").distinct()
+
+
+def _meetings(lists: DataFrame, light: int, bitmaps: bool = False) -> DataFrame:
+    """Rows of one list and different components that may link; ``bitmaps``: by their
+    shortest bitmaps too."""
+    x, y = lists.alias("x"), lists.alias("y")
+    left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    xn, yn = F.col("x.n"), F.col("y.n")
+    behind_too = F.least("x.nth", "y.nth") + 1 + F.least(xn - 1 - F.col("x.at"), yn - 1 - F.col("y.at")) >= _needed(xn, yn)
+    on = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & _may_link(left, right, light) & (F.col("x.pairs") | behind_too)
+    return x.join(y, on & _folds_fit(left, right) if bitmaps else on) \
+        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), xn.alias("n_a"), yn.alias("n_b"),
+                F.col("x.pairs").alias("light"), F.col("x.at").alias("at_a"), F.col("y.at").alias("at_b"))
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (id, component) after more links between documents."""
+    at = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"at_{c}"))
+    moved = components(links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("at_a", "a").alias("a"), F.coalesce("at_b", "b").alias("b")))
+    to = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    return written(found.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component")).union(moved), "components")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     shipped(docs.sparkSession)
@@ -340,7 +409,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     copies = keyed.join(keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1"), "key") \
         .select("a", F.col("doc_id").alias("b")).filter("a <> b")
     light = boundary(sets)
-    lists = shared_lists(docs, light, frequent_hashes(sets))
+    # copies, linked above, need no postings; an id with several sets keeps them all
+    several = keyed.groupBy("doc_id").agg(F.count_distinct("key").alias("k")).filter("k > 1").select(F.col("doc_id").alias("b"))
+    gone = written(copies.select("b").distinct().join(several, "b", "left_anti"), "copies")
+    first = docs.join(small_side(gone, gone.count()), F.col("doc_id").cast("long") == F.col("b"), "left_anti")
+    lists = shared_lists(first, light, frequent_hashes(sets))
 
     leads = [lists.select("doc_id", "n", "pairs", F.col(f"lead_{k}").alias("lead"), F.col(f"n_{k}").alias("lead_n")) for k in (0, 1)]
     star = _star_pairs(leads[0], light).union(_star_pairs(leads[1], light)).select("a", "b").distinct()
@@ -349,20 +422,30 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = written(copies.union(verified(docs, star)), "star-links")
     found = components(links)
     rest = _mixed(lists, found)
+    big = rest.filter(F.col("members") >= BIG).drop("component")
+    ids = written(big.select(F.col("doc_id").alias("b")).distinct(), "big-ids")
+    size = ids.count()
+    folds = written(own.join(small_side(ids, size), F.col("doc_id") == F.col("b"), "left_semi").select("doc_id", F.col("n").cast("int").alias("n"), "folds"), "big-folds")
+    if size:
+        texts = written(docs.select("doc_id", "text").join(small_side(ids, size), F.col("doc_id").cast("long") == F.col("b"), "left_semi"), "big-texts")
+        before = found
+        for turn in range(ROUNDS):
+            more = written(verified(texts, _leader_pairs(_placed(big, found), folds, light, turn)), "leader-links")
+            n_more = more.count()
+            found = _merged(found, more) if n_more else found
+            if n_more <= size // FEW:
+                break
+        if found is not before:
+            rest = _mixed(rest.drop("component", "members"), found)
 
     # nth: elements of the document in these lists before this one; two documents in
     # different components share no others
     rest = rest.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "pairs").orderBy("at", "sig")) - 1)
-    x, y = rest.alias("x"), rest.alias("y")
-    xn, yn = F.col("x.n"), F.col("y.n")
-    heavy_may_link = (F.col("x.at") <= xn - _needed(xn, yn)) & (F.col("y.at") <= yn - _needed(xn, yn)) \
-        & (F.least("x.nth", "y.nth") + 1 + F.least(xn - 1 - F.col("x.at"), yn - 1 - F.col("y.at")) >= _needed(xn, yn))
-    met = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
-                 & _sizes_fit(xn, yn) & (F.col("x.pairs") == ((xn <= light) & (yn <= light)))
-                 & (F.col("x.pairs") | heavy_may_link))
+    small_lists = rest.filter(F.col("members") < BIG)
+    large_lists = rest.filter(F.col("members") >= BIG).join(folds, ["doc_id", "n"])
+    met = _meetings(small_lists, light).union(_meetings(large_lists, light, bitmaps=True))
+    pairs = met.groupBy("a", "b", "n_a", "n_b").agg(F.max("light").alias("light"), F.count(F.lit(1)).alias("shared"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
     # overlap: the shared elements found, and at most what stands behind the last one
-    pairs = met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), xn.alias("n_a"), yn.alias("n_b")) \
-        .agg(F.max("x.pairs").alias("light"), F.count(F.lit(1)).alias("shared"), F.max("x.at").alias("at_a"), F.max("y.at").alias("at_b"))
     needed = _needed(F.col("n_a"), F.col("n_b"))
     pairs = pairs.filter(F.col("light") | (F.col("shared") + F.least(F.col("n_a") - 1 - F.col("at_a"), F.col("n_b") - 1 - F.col("at_b")) >= needed))
     bits_of = lambda c: own.select(F.col("doc_id").alias(c), F.col("n").cast("int").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
@@ -371,7 +454,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .select("a", "b", "bits_a", "bits_b", "apart").mapInArrow(_near_enough, "a long, b long").distinct()
     more = written(verified(docs, pairs), "rest-links")
     if not more.isEmpty():
-        found = components(links.union(more))
+        found = _merged(found, more)
     return own.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("id"), "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
