@@ -37,13 +37,17 @@ def test_abort_rules(spark):
     assert len(ap) == 1 and ap[0].channel == "b" and ap[0].next_unsent_offset == 201
 
 
-def test_unhealthy_listed_once(spark):
+def test_unhealthy_listed_at_each_check(spark):
     st = _status(spark, [("a", "2024-01-01 00:00:00", 1, "1", 0, "SUCCESS"),
                          ("a", "2024-01-01 00:00:30", 1, "1", 0, "ERR_X"),
                          ("a", "2024-01-01 00:01:00", 1, "1", 0, "ERR_X"),
-                         ("b", "2024-01-01 00:00:30", 1, "1", 0, "SUCCESS")])
-    rows = monitor.unhealthy_channels(st).collect()
-    assert [(r.channel, r.last_status) for r in rows] == [("a", "ERR_X")]
+                         ("a", "2024-01-01 00:01:40", 1, "1", 0, "SUCCESS"),
+                         ("b", "2024-01-01 00:00:30", 1, "1", 0, "SUCCESS"),
+                         ("c", "2024-01-01 00:00:31", 1, "1", 0, "ERR_Y"),
+                         ("c", "2024-01-01 00:00:40", 1, "1", 0, "SUCCESS")])
+    rows = monitor.unhealthy_channels(st).orderBy("check_period").collect()
+    assert [(r.channel, r.last_status, str(r.check_period)[-8:]) for r in rows] == [("a", "ERR_X", "00:00:30"), ("a", "ERR_X", "00:01:00")]
+    assert monitor.unhealthy_channels(st, every="1 day").count() == 0  # healed by the end of the day
 
 
 def test_client_leak_rule(spark):
