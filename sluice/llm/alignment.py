@@ -59,7 +59,7 @@ class PairTexts(dict):
 
 
 class Vocabularies:
-    """The bytes and lengths of the tokens of both vocabularies."""
+    """The bytes, lengths and decimal forms of the tokens of both vocabularies."""
 
     def __init__(self, a_ranks: str | None, b_model: str | None):
         import public_tokenizers
@@ -76,6 +76,7 @@ class Vocabularies:
         self.b_length = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.a_size, self.b_size = len(self.a_length), len(self.b_length)
         self.texts = PairTexts(self.b_size)
+        self.a_text, self.b_text = ([str(k) for k in range(size)] for size in (self.a_size, self.b_size))
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of both; none if either does not spell space + text."""
@@ -159,9 +160,9 @@ def aligned(a_ids: np.ndarray, b_ids: np.ndarray, v: Vocabularies, window: int =
         back = np.repeat(behind, number) - np.arange(behind[-1])  # 1 for the last group of a stretch
         own = a_ids[i0 + np.repeat(i_end, number) - back] * v.b_size + b_ids[j0 + np.repeat(j_end, number) - back]
         parts = list(map(v.texts.__getitem__, own.tolist()))
-        a_list, b_list = a_ids[i0:i1].tolist(), b_ids[j0:j1].tolist()
+        a_list, b_list, a_text, b_text = a_ids[i0:i1].tolist(), b_ids[j0:j1].tolist(), v.a_text.__getitem__, v.b_text.__getitem__
         for at, (x, x_end, y, y_end) in zip((behind[~stretch] - 1).tolist(), rows[~stretch].tolist(), strict=True):
-            parts[at] = f"{a_list[x:x_end]}|{b_list[y:y_end]}"[1:-1].replace("]|[", "|").replace(" ", "")
+            parts[at] = ",".join(map(a_text, a_list[x:x_end])) + "|" + ",".join(map(b_text, b_list[y:y_end]))
         digest.update(((";" if groups else "") + ";".join(parts)).encode())
         groups += len(parts)
         links.append(own)
