@@ -17,6 +17,7 @@ from sluice.operators import dedup, delivery, evolve, forecast, intervals, landi
 from sluice.operators.semantic import users_view
 from sluice.operators.spec import TableSpec
 from sluice.sources import fixtures as fx
+from sluice.streaming import live
 from sluice.tables import read_table
 
 # Fixed values shared with the oracle SQL.
@@ -440,7 +441,67 @@ def q_stream_dedup_intervals(spark, sf):
     return spark.read.parquet(run + "/out").select("topic", "partition", "offset", "key", "value", "timestamp")
 
 
+def q_stream_land_compacted(spark, sf):
+    """The landed rows after every settled epoch was merged into parts and the merged
+    folders were removed."""
+    import uuid
+
+    from sluice.session import checkpoint_path
+    from sluice.sources.log_source import file_stream
+    from sluice.streaming import landing as sl
+    from sluice.streaming.manifest import LandedTable
+    src = _stage_input(spark, fx.log_records_bad(spark, sf), "log_records_bad")
+    run = checkpoint_path(spark, "stream_land_compacted", uuid.uuid4().hex[:10])
+    q, _ = sl.start_landing(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)),
+                            USERS, run + "/landed", run + "/errors", checkpoint=run + "/ckpt",
+                            trigger={"availableNow": True}, text_fixes=FIXES)
+    q.awaitTermination()
+    table = LandedTable(spark, run + "/landed")
+    table.compact(fan=2)
+    table.vacuum(keep=1)
+    return _users_out(sl.read_landed(spark, run + "/landed").select(*META, *USERS.names))
+
+
+def _live(spark, sf, name, figure):
+    """Run one live figure over the landed stream, in several micro-batches."""
+    import uuid
+
+    from sluice.session import checkpoint_path
+    from sluice.sources.log_source import file_stream
+    from sluice.streaming.live import start_live
+    src = _stage_input(spark, fx.log_records(spark, sf), "log_records")
+    landed = landing.land_by_name(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)),
+                                  USERS, as_of=AS_OF, text_fixes=FIXES)
+    run = checkpoint_path(spark, name, uuid.uuid4().hex[:10])
+    state = figure(run + "/state")
+    start_live(landed, [state], run + "/ckpt", {"availableNow": True}).awaitTermination()
+    return state
+
+
+def q_stream_cumulative_revenue(spark, sf):
+    """The dashboard's running total, kept by a stream (late rows correct later totals)."""
+    state = _live(spark, sf, "stream_cumulative_revenue", lambda path: live.running_revenue(spark, path))
+    return state.running("cumulative_revenue").select(
+        F.col("key").alias("time_bucket"), F.col("cumulative_revenue").cast("double").alias("cumulative_revenue"))
+
+
+def q_stream_top_countries(spark, sf):
+    """Top countries by revenue from a stream's bounded candidates."""
+    state = _live(spark, sf, "stream_top_countries", lambda path: live.revenue_by(spark, path, "country", 10))
+    return state.top(10).select(F.col("key").alias("country"), F.col("amount").cast("double").alias("revenue"))
+
+
+def q_stream_recent_records(spark, sf):
+    """The newest 20 rows kept by a stream."""
+    state = _live(spark, sf, "stream_recent_records", lambda path: live.newest_rows(spark, path, 20))
+    return state.rows().withColumn("order_amount", F.col("order_amount").cast("double"))
+
+
 QUERIES["stream_land"] = q_stream_land
+QUERIES["stream_land_compacted"] = q_stream_land_compacted
+QUERIES["stream_cumulative_revenue"] = q_stream_cumulative_revenue
+QUERIES["stream_top_countries"] = q_stream_top_countries
+QUERIES["stream_recent_records"] = q_stream_recent_records
 QUERIES["stream_dedup"] = q_stream_dedup
 QUERIES["offset_intervals"] = q_offset_intervals
 QUERIES["contiguous_commits"] = q_contiguous_commits

@@ -589,6 +589,11 @@ def _lst(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
+# The streaming forms give the rows of their batch forms.
+SQL |= {"stream_land_compacted": SQL["stream_land"], "stream_cumulative_revenue": SQL["cumulative_revenue"],
+        "stream_top_countries": SQL["top_countries"], "stream_recent_records": SQL["recent_records"]}
+
+
 def _register_cdr() -> None:
     from sluice.sources.fixtures import AREA_CODES, CALL_TYPES, CELL_TOWERS, DISPOSITIONS, NETWORKS, PLANS
     CTES["cdr_src"] = (f"""

@@ -16,7 +16,9 @@ Per micro-batch:
 Each batch writes its own ``_epoch`` partition with dynamic overwrite, so a
 batch replayed after a failure replaces its earlier attempt instead of adding
 to it: together with the checkpointed source offsets this lands every record
-exactly once. With ``evolve=True`` new payload keys become new columns
+exactly once. Old epochs can be compacted at any time
+(:mod:`sluice.streaming.manifest`); a compacted epoch is settled, and its replay
+writes nothing. With ``evolve=True`` new payload keys become new columns
 (old rows read back as NULL via ``mergeSchema``).
 """
 from __future__ import annotations
@@ -25,7 +27,6 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ from sluice.operators.intervals import not_in, offset_intervals
 from sluice.operators.spec import ColumnSpec, TableSpec
 from sluice.session import checkpoint_path
 from sluice.streaming.intervals import IntervalStore
+from sluice.streaming.manifest import LandedTable
 
 KEYS = ("topic", "partition", "offset")
 KEEP = ("topic", "partition", "offset", "key", "push_time")
@@ -54,26 +56,6 @@ class LandingState:
     columns: list[str] = field(default_factory=list)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
-    """The landed table, or None while nothing has been landed (a folder
-    with no data files yet). Any other fault is raised."""
-    if not _exists(spark, path):
-        return None
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return None
-
-
 def _write_epoch(df: DataFrame, path: str, epoch: int) -> None:
     (df.withColumn("_epoch", F.lit(epoch).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -99,7 +81,7 @@ def _count_errors(state: LandingState, spark: SparkSession, errors: str, epoch:
     """Errors per epoch, taken from the error table by a new state (after a restart); a
     replayed epoch replaces its count. The monitor aborts when their total grew."""
     if not state.errors_by_epoch:
-        before = _read_parquet(spark, errors)
+        before = LandedTable(spark, errors).read()
         if before is not None:
             state.errors_by_epoch = {r["_epoch"]: r["count"] for r in before.where(F.col("_epoch") < epoch)
                                      .groupBy("_epoch").count().collect()}
@@ -115,8 +97,11 @@ def land_batch(batch: DataFrame, epoch: int, spec: TableSpec, target: str, error
                intervals: str | None = None) -> None:
     """``intervals``: folder of the sets of landed offsets (default: beside the target)."""
     spark = batch.sparkSession
+    table = LandedTable(spark, target)
+    if epoch <= table.manifest()["through"]:                 # settled and compacted
+        return
     if spec.evolve:
-        spec = evolved_spec(batch, spec, _read_parquet(spark, target))
+        spec = evolved_spec(batch, spec, table.read())
     v = landing.validate(batch, spec, keep=KEEP, text_fixes=text_fixes).persist()
     try:
         good, bad = landing.split_errors(v, from_epoch_millis(F.col("push_time")), (*KEYS, "key", "value"))
@@ -125,14 +110,14 @@ def land_batch(batch: DataFrame, epoch: int, spec: TableSpec, target: str, error
         store = IntervalStore(spark, intervals or target.rstrip("/") + "-intervals")
         seen = store.before(epoch)
         if seen is None:                                     # a table landed without sets
-            prior = _read_parquet(spark, target)
+            prior = table.read()
             seen = offset_intervals(prior.where(F.col("_epoch") < epoch)) if prior is not None else None
         if seen is not None:
             good = not_in(good, seen)
         _write_epoch(good, target, epoch)
-        landed = _read_parquet(spark, target)
-        if landed is not None:
-            store.write(epoch, landed.where(F.col("_epoch") == epoch).select(*KEYS), seen)
+        landed = f"{target.rstrip('/')}/_epoch={epoch}"
+        if table.files.exists(landed):
+            store.write(epoch, spark.read.parquet(landed).select(*KEYS), seen)
         if state is not None:
             counts = v.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_valid")).alias("e")).first()
             _count_errors(state, spark, errors, epoch, counts.e)
@@ -166,7 +151,7 @@ def fresh_checkpoint(spark: SparkSession, name: str) -> str:
 
 
 def read_landed(spark: SparkSession, target: str) -> DataFrame:
-    df = _read_parquet(spark, target)
+    df = LandedTable(spark, target).read()
     if df is None:
         raise FileNotFoundError(f"nothing landed at {target} yet")
     return df.drop("_epoch")
