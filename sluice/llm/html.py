@@ -5,7 +5,8 @@ block. Each node has a content variable with a potential from its features (tag,
 length, links, punctuation), and each parent-child pair has a potential of its own.
 Sum-product message passing, once upward and once downward, gives every node's exact
 content marginal. Weights are fitted by maximum likelihood, with the same message
-passing, on labelled pages (``labelled_pages.py``).
+passing, on labelled pages (``labelled_pages.py``): articles in named, semantic and
+unnamed wrappers, directly in the body, with ``<br>``, of one paragraph and of many.
 
 Blocks whose node has a marginal of at least one half are the text: character
 references decoded, white space inside a block as one space, trimmed, joined in page
@@ -16,17 +17,20 @@ Defined cases: a null or empty page, or one without content, has the empty text;
 unclosed and misplaced tags are closed where a browser would close blocks, an open
 head at the first element or text that cannot stand in it, and an open element that is
 never text with the block around it (without one it goes to the page's end); text
-without any element is one block; repeated rows and null ids are pages like others; an
+without any element is one block; a comment, tag or quoted value left open goes to the
+page's end; pages are read in linear time, whatever their length, depth or faults; ties
+(a marginal of exactly one half) are text; repeated rows and null ids are pages like others; an
 empty table gives no rows. Extra columns are ignored.
 """
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -62,41 +66,143 @@ class Block:
     children: list[int] = field(default_factory=list)
 
 
-class Page(HTMLParser):
-    """Block tree and text segments (block number, text) in page order."""
+#: One attribute's name, and what may stand before it and before its value.
+_NAME = re.compile(r"[^\s/>=][^\s/>=]*|=[^\s/>=]*")
+_GAP, _SPACE, _BARE = re.compile(r"[\s/]*"), re.compile(r"\s*"), re.compile(r"[^\s>]*")
+_TAG = re.compile(r"[a-zA-Z][^\s/>]*")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style")}
+
+
+def _tag_end(html: str, at: int) -> tuple[int, bool, list[tuple[str, str]]]:
+    """Reads attributes from ``at``: the place behind the tag's ``>`` (-1: the page ends
+    inside the tag), whether it closes itself, and the attributes (the first of a name)."""
+    found: dict[str, str] = {}
+    while True:
+        gap = _GAP.match(html, at).end()
+        if gap >= len(html):
+            return -1, False, []
+        if html[gap] == ">":
+            return gap + 1, gap > at and html[gap - 1] == "/", list(found.items())
+        name = _NAME.match(html, gap)
+        at, value = name.end(), ""
+        sign = _SPACE.match(html, at).end()
+        if html[sign:sign + 1] == "=":
+            at = _SPACE.match(html, sign + 1).end()
+            quote = html[at:at + 1]
+            if quote in ('"', "'") and quote:
+                end = html.find(quote, at + 1)
+                if end < 0:
+                    return -1, False, []
+                value, at = html[at + 1:end], end + 1
+            else:
+                end = _BARE.match(html, at).end()
+                value, at = html[at:end], end
+        found.setdefault(name.group().lower(), value)
+
+
+class Page:
+    """Block tree and text segments (block number, text) in page order. Every character
+    is read a bounded number of times, whatever is left open."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.blocks = [Block("#page", -1)]
-        self.stack, self.links, self.dropped = [0], 0, []
+        self.stack, self.links = [0], 0
+        self.at: dict[str, list[int]] = {"#page": [0]}  # depths in the stack, by tag
+        self.dropped: list[str] = []
+        self.n_dropped: Counter[str] = Counter()
         self.segments: list[tuple[int, list[str]]] = []
         self.new = True
-        self.feed(html)
-        self.close()
+        self._read(html)
+
+    def _read(self, html: str) -> None:
+        """Tags, texts and comments in turn, as the HTML standard cuts them: a comment,
+        tag or quoted value that is left open goes to the page's end."""
+        at, n = 0, len(html)
+        while at < n:
+            i = html.find("<", at)
+            if i < 0:
+                i = n
+            if i > at:
+                self.handle_data(unescape(html[at:i]))
+            if i == n:
+                return
+            two = html[i + 1:i + 2]
+            closing = two == "/"
+            tag = _TAG.match(html, i + 1 + closing)
+            if html.startswith("<!--", i):
+                end = html.find("-->", i + 2)
+                at = end + 3
+            elif tag:
+                end, self_closing, attrs = _tag_end(html, tag.end())
+                at = end
+                name = tag.group().lower()
+                if end < 0:
+                    return
+                if closing:
+                    self.handle_endtag(name)
+                elif self_closing:
+                    self.handle_startendtag(name, attrs)
+                else:
+                    self.handle_starttag(name, attrs)
+                if name in _RAW_END and not closing and not self_closing:
+                    raw = _RAW_END[name].search(html, at)
+                    if raw is None:
+                        return
+                    at = raw.start()
+            elif two in ("!", "?") or closing and i + 2 < n:
+                end = html.find(">", i + 2)
+                at = end + 1
+            else:
+                self.handle_data("<")
+                end = at = i + 1
+            if end < 0:
+                return
 
     def _pop_to(self, depth: int) -> None:
-        del self.stack[depth:]
+        while len(self.stack) > depth:
+            self.at[self.blocks[self.stack.pop()].tag].pop()
         self.links, self.new = 0, True
 
+    def _innermost(self, tags) -> int:
+        """Depth of the innermost open block with one of the tags; 0 if none is open."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def _drop(self, tag: str) -> None:
+        self.dropped.append(tag)
+        self.n_dropped[tag] += 1
+
+    def _undrop(self, tag: str) -> None:
+        """Ends the innermost open ``tag`` and all inside it."""
+        while True:
+            last = self.dropped.pop()
+            self.n_dropped[last] -= 1
+            if last == tag:
+                return
+
+    def _undrop_all(self) -> None:
+        self.dropped.clear()
+        self.n_dropped.clear()
+
     def _inside_dropped(self, tag: str) -> None:
         """Keeps the elements open inside a dropped one, so that the end tag of an
         enclosing block is known from theirs."""
-        if tag == "select" and tag in self.dropped:  # ends the open one
-            del self.dropped[self.dropped.index(tag):]
+        if tag == "select" and self.n_dropped[tag]:  # ends the open one
+            while self.n_dropped[tag]:
+                self._undrop(tag)
         elif tag == self.dropped[-1] and tag in ("button", "option"):  # ends it and opens another
             return
         elif tag in DROPPED or tag not in INLINE and tag not in VOID:
-            self.dropped.append(tag)
+            self._drop(tag)
 
     def handle_starttag(self, tag, attrs):
         if self.dropped:
             if self.dropped[0] == "head" and (tag == "body" or len(self.dropped) == 1 and tag not in IN_HEAD):
-                self.dropped.clear()
+                self._undrop_all()
             else:
                 self._inside_dropped(tag)
                 return
         if tag in DROPPED:
-            self.dropped.append(tag)
+            self._drop(tag)
             return
         if tag in INLINE:
             if tag == "a":
@@ -104,30 +210,25 @@ class Page(HTMLParser):
             elif tag == "br":
                 self.handle_data(" ")
             return
-        tags = [self.blocks[k].tag for k in self.stack]
-        if "p" in tags:  # a block ends an open paragraph
-            self._pop_to(tags.index("p"))
-            tags = tags[:len(self.stack)]
+        if self.at.get("p"):  # a block ends an open paragraph
+            self._pop_to(self.at["p"][0])
         if tag in CLOSED_BY:
             ends, within = CLOSED_BY[tag]
-            for depth in range(len(tags) - 1, 0, -1):
-                if tags[depth] in within:
-                    break
-                if tags[depth] in ends:
-                    self._pop_to(depth)
-                    break
+            if (depth := self._innermost(ends)) > self._innermost(within):
+                self._pop_to(depth)
         self.new = True
         if tag in VOID:
             return
         at = dict(attrs)
-        names = " ".join(str(at.get(k) or "") for k in ("class", "id", "role")).lower()
+        names = " ".join(unescape(at.get(k, "")) for k in ("class", "id", "role")).lower()
         label = at.get("data-y")
         self.blocks.append(Block(tag, self.stack[-1], tuple(re.findall(r"[a-z]+", names)), int(label) if label in ("0", "1") else -1))
         self.blocks[self.stack[-1]].children.append(len(self.blocks) - 1)
+        self.at.setdefault(tag, []).append(len(self.stack))
         self.stack.append(len(self.blocks) - 1)
 
     def handle_startendtag(self, tag, attrs):
-        if "svg" in self.dropped or "math" in self.dropped:  # closed in foreign elements only
+        if self.n_dropped["svg"] or self.n_dropped["math"]:  # closed in foreign elements only
             return
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag in DROPPED:
@@ -135,24 +236,20 @@ class Page(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.dropped:
-            if tag in self.dropped:
-                while self.dropped.pop() != tag:
-                    pass
+            if self.n_dropped[tag]:
+                self._undrop(tag)
                 return
-            if tag in INLINE or all(self.blocks[k].tag != tag for k in self.stack):
+            if tag in INLINE or not self.at.get(tag):
                 return
-            self.dropped.clear()  # an enclosing block closes
+            self._undrop_all()  # an enclosing block closes
         if tag == "a":
             self.links = 0
-        elif tag not in INLINE:
-            for depth in range(len(self.stack) - 1, 0, -1):
-                if self.blocks[self.stack[depth]].tag == tag:
-                    self._pop_to(depth)
-                    break
+        elif tag not in INLINE and (depth := self._innermost((tag,))):
+            self._pop_to(depth)
 
     def handle_data(self, data):
         if self.dropped == ["head"] and data.strip():
-            self.dropped.clear()
+            self._undrop_all()
         if self.dropped:
             return
         here = self.stack[-1]
@@ -175,8 +272,9 @@ _NAMES |= {w: "inside" for name in INSIDE for w in name.split("-") if w not in (
 
 def _features(page: Page, k: int) -> list[str]:
     b = page.blocks[k]
-    out = ["any", f"tag {b.tag}"]
-    out += {f"name {_NAMES[w]}" for w in b.names if w in _NAMES}
+    out = ["any", f"tag {b.tag}", f"{_pair(b)} {b.tag}"]
+    known = {f"name {_NAMES[w]}" for w in b.names if w in _NAMES}
+    out += known or [f"unnamed {_pair(b)} {b.tag}"]
     if b.chars:
         out.append(f"chars {min(int(math.log2(b.chars)) // 2, 5)}")
         out.append(f"links {4 * b.linked // b.chars}")
@@ -190,6 +288,12 @@ def _pair(child: Block) -> str:
     return "bare" if not child.chars else "text"
 
 
+def _edge(blocks: list[Block], k: int) -> str:
+    """Kind of the potential between a block and its parent; the page's outermost blocks
+    hold everything, so they say little of what is in them."""
+    return _pair(blocks[k]) + (" on top" if blocks[blocks[k].parent].tag in ("#page", "html", "body") else "")
+
+
 def _lse(a: float, b: float) -> float:
     m = a if a > b else b
     return m + math.log(math.exp(a - m) + math.exp(b - m))
@@ -205,7 +309,7 @@ def passed(page: Page, unary: dict[str, float], pair: dict[tuple[str, int, int],
     inner = [x[:] for x in local]
     pots = [None] * n
     for k in range(n - 1, 0, -1):  # children stand behind their parents
-        kind = _pair(blocks[k])
+        kind = _edge(blocks, k)
         t = pots[k] = [[pair.get((kind, a, b), 0.0) for b in (0, 1)] for a in (0, 1)]
         x = inner[k]
         up[k] = [_lse(t[a][0] + x[0], t[a][1] + x[1]) for a in (0, 1)]
@@ -239,7 +343,7 @@ def fit(htmls: list[str], steps: int = 60, rate: float = 0.5, pull: float = 1e-3
         for k in range(len(y) - 1, -1, -1):
             if y[k] < 0:
                 below = [y[c] for c in p.blocks[k].children]
-                y[k] = int(2 * sum(below) > len(below))
+                y[k] = int(2 * sum(below) > len(below) or p.blocks[k].chars > 0)  # own text: a page without elements
         labels.append(y)
     unary: dict = {}
     pair: dict = {}
@@ -255,7 +359,7 @@ def fit(htmls: list[str], steps: int = 60, rate: float = 0.5, pull: float = 1e-3
                 for f in fs[k]:
                     du[f] = du.get(f, 0.0) + off
                 if k:
-                    kind = _pair(b)
+                    kind = _edge(p.blocks, k)
                     for a in (0, 1):
                         for c in (0, 1):
                             key = (kind, a, c)

@@ -27,7 +27,8 @@ WORDS = ("the", "river", "of", "stone", "runs", "under", "old", "bridges", "and"
 
 def _text(r: random.Random, low: int, high: int, end: str = ".") -> str:
     ws = [r.choice(WORDS) for _ in range(r.randint(low, high))]
-    for k in range(7, len(ws), 9):
+    step = r.choice((4, 6, 9, 9, 9, 14))
+    for k in range(step - 2, len(ws), step):
         ws[k] += r.choice((",", ".", ""))
     return " ".join(ws).capitalize() + end
 
@@ -93,8 +94,50 @@ def _article(r: random.Random) -> str:
     return f"<{tag} {y} {name}>{body}</{tag}>"
 
 
+def _prose(r: random.Random) -> str:
+    """Text of an article that stands in no paragraph elements."""
+    return "<br><br>".join(_text(r, *r.choice(((8, 30), (30, 120)))) for _ in range(r.randint(1, 5)))
+
+
+def _plain(r: random.Random) -> str:
+    """An article without names: in unnamed wrappers of any depth, directly in its wrapper
+    or in few paragraphs."""
+    y, k = 'data-y="1"', r.random()
+    if k < 0.2:
+        body = f"<div {y}>{_prose(r)}</div>"
+    elif k < 0.4:
+        body = "".join(f"<div {y}>{_text(r, *r.choice(((6, 20), (20, 90))))}</div>" for _ in range(r.randint(1, 5)))
+    elif k < 0.6:
+        body = f"<p {y}>{_text(r, 8, 100)}</p>"
+    elif k < 0.75:
+        body = f'<p {y}>See <a href="/r">{_text(r, 2, 8, "")}</a></p><p {y}>{_text(r, 1, 3)}</p>'
+    elif k < 0.85:
+        body = f"<pre {y}>{_text(r, 8, 60)}</pre><p {y}>{_text(r, 4, 30)}</p>"
+    else:
+        body = "".join(_part(r) for _ in range(r.randint(1, 6)))
+    for _ in range(r.choice((0, 1, 1, 2, 3, 12))):
+        body = f"<div {y}>{body}</div>"
+    tag = r.choice(("", "", "div", "article", "main", "section"))
+    return f"<{tag} {y}>{body}</{tag}>" if tag else body
+
+
 def labelled_pages(count: int = 160, seed: int = 7) -> list[str]:
+    """``count`` pages with named parts and three quarters as many without names."""
     out = []
+    for k in range(3 * count // 4):
+        r = random.Random(f"{seed}-plain-{k}")
+        if k % 8 == 0:  # text alone
+            out.append(_prose(r))
+            continue
+        if k % 8 == 1:
+            out.append(f'<html><head><title>{_text(r, 2, 6, "")}</title></head><body data-y="1">{_prose(r)}</body></html>')
+            continue
+        top = [_around(r, kind) for kind in ("header", "nav", "notice", "ad") if r.random() < 0.25]
+        below = [_around(r, kind) for kind in ("comments", "aside", "share", "footer") if r.random() < 0.25]
+        body = "".join([*top, _plain(r), *below])
+        if k % 2:  # a wrapper of all parts is no part of the article
+            body = f'<div data-y="0">{body}</div>'
+        out.append(f'<html><body data-y="0">{body}</body></html>')
     for k in range(count):
         r = random.Random(f"{seed}-{k}")
         top = [_around(r, kind) for kind in ("header", "nav", "notice", "ad", "form") if r.random() < 0.5]

@@ -262,7 +262,7 @@ def test_marginals_by_enumeration():
     total, on = 0.0, [0.0] * n
     for y in itertools.product((0, 1), repeat=n):
         s = sum(unary.get(f, 0.0) for k in range(n) if y[k] for f in html._features(page, k))
-        s += sum(pair.get((html._pair(page.blocks[k]), y[page.blocks[k].parent], y[k]), 0.0) for k in range(1, n))
+        s += sum(pair.get((html._edge(page.blocks, k), y[page.blocks[k].parent], y[k]), 0.0) for k in range(1, n))
         total += math.exp(s)
         for k in range(n):
             on[k] += y[k] * math.exp(s)
