@@ -5,6 +5,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def boxed(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but those of ``documents`` in one struct, so that no name
+    of theirs meets a step's own columns, and the function that gives a result of such
+    steps the columns of ``docs`` again, in their order."""
+    own = [c for c in docs.columns if c in ("doc_id", "text", "lang", "source", "n_chars")]
+    rest = [c for c in docs.columns if c not in own]
+    name = lambda c: f"`{c.replace('`', '``')}`"
+    box = [F.struct(*[F.col(name(c)).alias(f"c{k}") for k, c in enumerate(rest)]).alias("box")] if rest else []
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in own else F.col(f"box.c{rest.index(c)}").alias(c) for c in docs.columns])
+
+    return docs.select(*own, *box), back
+
+
 def spread(spark: SparkSession) -> int:
     """Number of partitions that shuffles of this session use."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
