@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.timefn import from_epoch_millis, lit_ntz
 from sluice.operators import dashboard as dash
-from sluice.operators import dedup, delivery, evolve, forecast, intervals, landing, monitor, shaping
+from sluice.operators import dedup, delivery, evolve, forecast, intervals, landing, monitor, rollups, shaping
 from sluice.operators.semantic import users_view
 from sluice.operators.spec import TableSpec
 from sluice.sources import fixtures as fx
@@ -296,6 +296,22 @@ def q_latency_profile(spark, sf):
     return monitor.latency_profile(fx.channel_status(spark, sf))
 
 
+def q_rollup_users_daily(spark, sf):
+    """Rows and distinct countries per day, merged from the hours' sketches (exact for
+    so few values)."""
+    hours = rollups.hourly(users(spark, sf), F.col("registration_date"), {"countries": F.col("country")})
+    return rollups.figures(rollups.merged(hours, [F.to_date("hour").alias("day")]))
+
+
+def q_rollup_latency_daily(spark, sf):
+    """Percentiles of the raw records' push latency per topic and day, merged from the
+    hours' sketches (no SQL: estimates with a bounded rank error)."""
+    records = fx.log_records(spark, sf)
+    sent = from_epoch_millis(F.col("push_time"))
+    hours = rollups.hourly(records, sent, measured={"latency_ms": F.timestamp_diff("MILLISECOND", F.col("timestamp"), sent)}, by=["topic"])
+    return rollups.figures(rollups.merged(hours, ["topic", F.to_date("hour").alias("day")]), (0.5, 0.95, 0.99))
+
+
 def q_error_growth(spark, sf):
     return monitor.error_growth(fx.channel_status(spark, sf))
 
@@ -497,6 +513,8 @@ def q_stream_recent_records(spark, sf):
     return state.rows().withColumn("order_amount", F.col("order_amount").cast("double"))
 
 
+QUERIES["rollup_users_daily"] = q_rollup_users_daily
+QUERIES["rollup_latency_daily"] = q_rollup_latency_daily
 QUERIES["stream_land"] = q_stream_land
 QUERIES["stream_land_compacted"] = q_stream_land_compacted
 QUERIES["stream_cumulative_revenue"] = q_stream_cumulative_revenue

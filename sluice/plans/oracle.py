@@ -504,6 +504,9 @@ FROM tower_daily""", "tower_daily"),
 SELECT task_id, round(quantile_cont(put_duration_ms, 0.99), 3) AS put_duration_p99,
        round(avg(avg_latency_ms), 3) AS avg_latency_ms
 FROM channel_status GROUP BY task_id""", "channel_status"),
+    "rollup_users_daily": with_ctes("""
+SELECT CAST(registration_date AS DATE) AS day, count(*) AS n_rows, count(DISTINCT country) AS unique_countries
+FROM users_landed GROUP BY 1""", "users_landed"),
     "error_growth": with_ctes("SELECT * FROM growth", "growth"),
     "offset_lag": with_ctes("SELECT * FROM lagv", "lagv"),
     "metric_growth": with_ctes(f"""
