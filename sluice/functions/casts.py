@@ -7,8 +7,11 @@ pattern first; text that does not have the shape gives NULL.
 """
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed shape patterns (must agree with the DuckDB oracle).
 LONG_SHAPE = r"^[+-]?[0-9]+$"
@@ -77,6 +80,23 @@ def to_boolean(text: Column) -> Column:
     return _guarded(F.lower(text), BOOLEAN_SHAPE, "boolean")
 
 
+def fits(v: Column, t: T.DataType) -> Column:
+    """Whether every value inside a VARIANT can be cast (strictly) to its place in a nested
+    type. Missing fields and JSON nulls fit; further fields are not looked at. The lambdas
+    bind each node once, so the expression grows with the type and no faster."""
+    def inside(x: Column) -> Column:
+        if isinstance(t, T.StructType):
+            m = x.try_cast("map<string,variant>")
+            each = lambda y: F.expr("true") if not t.fields else functools.reduce(
+                lambda a, b: a & b, [fits(F.try_element_at(y, F.lit(f.name)), f.dataType) for f in t.fields])
+            return m.isNotNull() & F.forall(F.array(m), each)
+        if isinstance(t, T.ArrayType):
+            items = x.try_cast("array<variant>")
+            return items.isNotNull() & F.forall(items, lambda y: fits(y, t.elementType))
+        return cast_text(x.try_cast("string"), t.simpleString()).isNotNull()
+    return F.forall(F.array(v), lambda x: x.isNull() | F.coalesce(F.is_variant_null(x), F.lit(False)) | F.coalesce(inside(x), F.lit(False)))
+
+
 def cast_text(text: Column, type_name: str) -> Column:
     """Strict cast of JSON-extracted text to a declared SQL type name."""
     t = type_name.strip().lower()
@@ -98,6 +118,9 @@ def cast_text(text: Column, type_name: str) -> Column:
         return to_boolean(text)
     if t in ("string", "varchar", "text") or t.startswith("varchar"):
         return text
+    if t.startswith(("struct<", "array<")):
+        v = F.try_parse_json(text)
+        return F.when(fits(v, T._parse_datatype_string(type_name)), F.try_variant_get(v, "$", type_name))
     raise ValueError(f"unsupported declared type {type_name!r}")
 
 

@@ -23,6 +23,8 @@ class ColumnSpec:
             return "bigint"
         if t in ("timestamp", "timestamp_ntz", "timestamp_auto"):
             return "timestamp"
+        if t.startswith(("struct<", "array<")):
+            return t[:t.index("<")]
         return t
 
 
@@ -31,6 +33,7 @@ class TableSpec:
     name: str
     columns: tuple[ColumnSpec, ...]
     evolve: bool = False           # ENABLE_SCHEMA_EVOLUTION
+    nested: bool = False           # new objects and arrays become structs and arrays, not text
     comment: str | None = None
     extra_columns: tuple[ColumnSpec, ...] = field(default_factory=tuple)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.timefn import from_epoch_millis, lit_ntz
 from sluice.operators import dashboard as dash
-from sluice.operators import dedup, delivery, evolve, forecast, intervals, landing, monitor, rollups, shaping
+from sluice.operators import dedup, delivery, evolve, forecast, intervals, landing, monitor, nested, rollups, shaping
 from sluice.operators.semantic import users_view
 from sluice.operators.spec import TableSpec
 from sluice.sources import fixtures as fx
@@ -30,6 +30,9 @@ CRITICAL_DROP_RATE = 0.2
 ERROR_CAP = 5
 
 USERS = TableSpec.from_tuples("users", fx.USERS_DECLARED)
+ENVELOPE = TableSpec.from_tuples("envelopes", [
+    ("meta", "struct<offset:bigint,tags:array<string>,pushes:array<struct<ms:bigint>>>", None),
+    ("body", "struct<props:struct<k:bigint>,date_of_birth:string>", None)])
 FIXES = {"address": landing.newline_to_comma}
 META = ("topic", "partition", "offset")
 
@@ -194,6 +197,19 @@ def q_infer_types(spark, sf):
     return evolve.infer_key_types(fx.log_records_bad(spark, sf))
 
 
+def q_infer_paths(spark, sf):
+    """Types by path, in the records as envelopes (the payload inside)."""
+    return nested.infer_paths(fx.log_envelopes(spark, sf))
+
+
+def q_land_nested(spark, sf):
+    """Envelopes landed into a struct and an array column, one row per record."""
+    d = landing.land_by_name(fx.log_envelopes(spark, sf), ENVELOPE)
+    return d.select(F.col("meta.offset").alias("meta_offset"), F.element_at("meta.tags", 1).alias("first_tag"),
+                    F.col("meta.pushes")[0]["ms"].alias("push_ms"), F.col("body.props.k").alias("props_k"),
+                    F.col("body.date_of_birth").alias("date_of_birth"))
+
+
 def q_unknown_fields(spark, sf):
     return landing.unknown_field_counts(fx.log_records_bad(spark, sf), USERS)
 

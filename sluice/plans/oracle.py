@@ -248,6 +248,28 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
               ELSE 'VARCHAR' END AS inferred_type,
          count(*) AS n_values
   FROM kv WHERE v IS NOT NULL GROUP BY "key\"""", ("kv",)),
+    "envelopes": ("""
+  SELECT topic, "offset", push_time, value AS body_text,
+         '{"meta":{"offset":' || "offset" || ',"tags":["' || topic || '","p' || "partition" || '"],"pushes":[{"ms":'
+         || push_time || '}]},"body":' || value || '}' AS value
+  FROM bad_obj WHERE is_obj""", ("bad_obj",)),
+    "path_nodes": ("""
+  SELECT regexp_replace(regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[]', 'g'), '^\\$\\.', '') AS path, t.type AS kind,
+         CASE WHEN t.type IN ('OBJECT', 'ARRAY') THEN CAST(t.value AS VARCHAR) ELSE json_extract_string(t.atom, '$') END AS v
+  FROM envelopes e, json_tree(e.value) t WHERE t.fullkey <> '$' AND t.type <> 'NULL'""", ("envelopes",)),
+    "path_types": (f"""
+  SELECT path,
+         CASE WHEN bool_and(kind = 'OBJECT') THEN 'OBJECT'
+              WHEN bool_and(kind = 'ARRAY') THEN 'ARRAY'
+              WHEN bool_or(kind IN ('OBJECT', 'ARRAY')) THEN 'VARCHAR'
+              WHEN bool_and(regexp_matches(v, '{LONG_RE}')) THEN 'BIGINT'
+              WHEN bool_and(regexp_matches(v, '{DEC_RE}')) THEN 'DECIMAL'
+              WHEN bool_and(regexp_matches(v, '{BOOL_RE}')) THEN 'BOOLEAN'
+              WHEN bool_and(regexp_matches(v, '{DATE_RE}') AND TRY_CAST(v AS DATE) IS NOT NULL) THEN 'DATE'
+              WHEN bool_and(regexp_matches(v, '{TS_RE}') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL) THEN 'TIMESTAMP'
+              ELSE 'VARCHAR' END AS inferred_type,
+         count(*) AS n_values
+  FROM path_nodes GROUP BY path""", ("path_nodes",)),
 }
 
 
@@ -407,6 +429,17 @@ ORDER BY error_timestamp DESC, topic, "partition", "offset" LIMIT 20""", "bad_va
 SELECT topic, "partition", "offset", "key", value, reasons[1] AS dlq_reason
 FROM bad_validated WHERE len(reasons) > 0""", "bad_validated"),
     "infer_types": with_ctes('SELECT "key", inferred_type, n_values FROM inferred', "inferred"),
+    "record_content": with_ctes("""
+SELECT '{' || string_agg(CAST(to_json(k) AS VARCHAR) || ':' || regexp_replace(CAST(json_extract(value, '$."' || k || '"') AS VARCHAR), '^(-?[0-9]+)\\.0$', '\\1'), ',' ORDER BY k)
+       || '}' AS record_content, topic AS meta_topic, "offset" AS meta_offset
+FROM (SELECT topic, "partition", "offset", value, unnest(json_keys(value)) AS k FROM log_records)
+GROUP BY topic, "partition", "offset\"""", "log_records"),
+    "infer_paths": with_ctes("SELECT path, inferred_type, n_values FROM path_types", "path_types"),
+    "land_nested": with_ctes("""
+SELECT "offset" AS meta_offset, topic AS first_tag, push_time AS push_ms,
+       TRY_CAST(json_extract_string(body_text, '$.props.k') AS BIGINT) AS props_k,
+       json_extract_string(body_text, '$.date_of_birth') AS date_of_birth
+FROM envelopes""", "envelopes"),
     "evolve_schema": with_ctes(f"""
 SELECT * FROM (VALUES {_declared_values()}) t(column_name, data_type, is_new)
 UNION ALL

@@ -162,6 +162,16 @@ def log_records_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kafka_shape(log_records_full(spark, sf_dir, faults=True))
 
 
+def log_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that are objects (of those with faults), as nested envelopes: meta
+    data with arrays of text and of objects, and the payload as ``body``."""
+    lr = log_records_bad(spark, sf_dir).where(F.try_parse_json("value").isNotNull() & F.ltrim("value").startswith("{"))
+    value = F.concat(F.lit('{"meta":{"offset":'), _s(F.col("offset")), F.lit(',"tags":["'), F.col("topic"), F.lit('","p'),
+                     _s(F.col("partition")), F.lit('"],"pushes":[{"ms":'), _s(F.col("push_time")),
+                     F.lit('}]},"body":'), F.col("value"), F.lit("}"))
+    return lr.withColumn("value", value)
+
+
 def log_records_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record once, plus a second delivery of records with
     ``event_id % 10 = 0`` pushed 1 s later (same topic, partition, offset)."""

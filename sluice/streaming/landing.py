@@ -23,6 +23,7 @@ writes nothing. With ``evolve=True`` new payload keys become new columns
 """
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 import uuid
 from dataclasses import dataclass, field
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.timefn import from_epoch_millis
-from sluice.operators import dedup, landing
+from sluice.operators import dedup, landing, nested
 from sluice.operators.evolve import SPARK_TYPE, evolved_columns
 from sluice.operators.intervals import not_in, offset_intervals
 from sluice.operators.spec import ColumnSpec, TableSpec
@@ -67,6 +68,8 @@ def evolved_spec(batch: DataFrame, spec: TableSpec, landed: DataFrame | None = N
     """The spec widened by the new keys of this batch. A key that an earlier batch
     landed keeps its column's type, so a value that does not fit is an error row. A
     batch with more than ``max_new_columns`` new keys (ids used as keys) is refused."""
+    if spec.nested:
+        return _nested_spec(batch, spec, landed, max_new_columns)
     known = {f.name.lower(): f.dataType.simpleString() for f in landed.schema} if landed is not None else {}
     new = (evolved_columns(batch, spec).where("is_new").select("column_name", "data_type")
            .limit(max_new_columns + 1).collect())
@@ -77,6 +80,18 @@ def evolved_spec(batch: DataFrame, spec: TableSpec, landed: DataFrame | None = N
     return TableSpec(spec.name, (*spec.columns, *cols), evolve=True)
 
 
+def _nested_spec(batch: DataFrame, spec: TableSpec, landed: DataFrame | None, max_new_columns: int) -> TableSpec:
+    """As above, with objects and arrays as structs and arrays. A landed column gets the
+    new fields of its objects; the fields it has keep their types."""
+    declared = {c.name.lower() for c in spec.columns}
+    known = {f.name.lower(): f.dataType for f in landed.schema} if landed is not None else {}
+    new = {k: t for k, t in nested.column_types(nested.path_summary(batch)).items() if k not in declared}
+    if len(new) > max_new_columns:
+        raise ValueError(f"a batch for {spec.name} has over {max_new_columns} new payload keys")
+    cols = [ColumnSpec(k, nested.ddl(nested.widened(known.get(k, t), t))) for k, t in sorted(new.items())]
+    return dataclasses.replace(spec, columns=(*spec.columns, *cols))
+
+
 def _count_errors(state: LandingState, spark: SparkSession, errors: str, epoch: int, n: int) -> None:
     """Errors per epoch, taken from the error table by a new state (after a restart); a
     replayed epoch replaces its count. The monitor aborts when their total grew."""

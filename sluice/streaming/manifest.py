@@ -27,6 +27,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.nested import widened
 from sluice.streaming.epochs import Files
 
 #: Bytes of one file of a part.
@@ -60,16 +61,21 @@ class LandedTable:
     # -- reading -------------------------------------------------------------------
 
     def _read(self, parts: list[str], epochs: list[int]) -> DataFrame | None:
-        merged = self.spark.read.option("mergeSchema", "true")
-        found = []
-        if parts:
-            found.append(merged.parquet(*[f"{self.parts}/{p}" for p in parts]))
-        if epochs:
-            one = merged.option("basePath", self.target).parquet(*[f"{self.target}/_epoch={e}" for e in epochs])
-            found.append(one.withColumn("_epoch", F.col("_epoch").cast("long")))
-        if not found:
-            return None
-        return found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
+        def frames(schema=None):
+            merged = self.spark.read.option("mergeSchema", "true") if schema is None else self.spark.read.schema(schema)
+            if parts:
+                yield merged.parquet(*[f"{self.parts}/{p}" for p in parts])
+            if epochs:
+                one = merged.option("basePath", self.target).parquet(*[f"{self.target}/_epoch={e}" for e in epochs])
+                yield one.withColumn("_epoch", F.col("_epoch").cast("long"))
+
+        found = list(frames())
+        if len(found) < 2:
+            return found[0] if found else None
+        parts_have, epochs_have = ({f.name: f.dataType for f in d.schema} for d in found)
+        if any(epochs_have.get(n, t) != t for n, t in parts_have.items()):   # newer fields inside a column
+            found = list(frames(widened(found[0].schema, found[1].schema)))
+        return found[0].unionByName(found[1], allowMissingColumns=True)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The whole table with ``_epoch``, as of a manifest; None while it is empty."""

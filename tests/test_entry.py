@@ -14,7 +14,7 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_rows_only():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert (set(qs) - set(sql)) & set(QUERIES) == {"record_content", "rollup_latency_daily"}
+    assert (set(qs) - set(sql)) & set(QUERIES) == {"rollup_latency_daily"}
 
 
 def test_catalog_queries_build_and_run(spark):
