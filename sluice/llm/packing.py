@@ -11,7 +11,7 @@ driver, whatever the corpus. There
   4. small lengths go, largest first, to the sequence with the least room that fits.
 The plan is a list of slots: so many pieces of one length, from a rank on, go to
 consecutive sequences at one offset. Several group counts are tried on the counts and
-the plan with the fewest sequences is kept. Spark then ranks the pieces of each length
+the plan with the fewest sequences is kept; every plan goes through the grouping. Spark then ranks the pieces of each length
 (in blocks, so that no length is ranked by one task) and joins them with the slots.
 
 Token ids: those of ``tokenizers`` with ``byte_bpe_50k.json`` and its default settings,
@@ -45,8 +45,8 @@ CAPACITY = 1024
 END = 2
 #: Lengths up to CAPACITY // SMALL are small.
 SMALL = 8
-#: Numbers of groups that are tried; the last leaves every length a group of its own.
-GROUPS = (16, 64, 256, 100_000)
+#: Numbers of groups that are tried.
+GROUPS = (64, 128, 256, 512)
 #: Pieces ranked together.
 RANK_BLOCK = 50_000
 #: White space in a row from which tokenizers reads the text (tiktoken fails near 1,000,000).
@@ -90,6 +90,7 @@ def token_ids(ranks_path: str, text: str, special: bool = False) -> np.ndarray:
 
 def _cut(ranks_path: str, capacity: int, special: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -97,20 +98,23 @@ def _cut(ranks_path: str, capacity: int, special: bool):
                 first = len(ids) - capacity * (-(-len(ids) // capacity) - 1)
                 start, end, piece = 0, first, 0
                 while start < len(ids):
-                    rows.append((doc, piece, start, end - start, zlib.crc32(ids[start:end].tobytes())))
+                    rows.append((doc, piece, start, end - start, zlib.crc32(ids[start:end].tobytes()), seen))
+                    seen += 1
                     start, end, piece = end, end + capacity, piece + 1
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            cols = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PIECE, strict=True)],
-                                             names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                                             names=["doc_id", "piece", "start", "length", "ids_crc32", "seen"])
     return cut
 
 
-_PIECE = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+_PIECE = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def pieces(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, special: bool = False) -> DataFrame:
+    """The pieces of all documents. ``seen`` counts within a task: it is written with the
+    piece and deals repeated and null ids over the blocks of ranks."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return d.mapInArrow(_cut(ranks_path, capacity, special), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return d.mapInArrow(_cut(ranks_path, capacity, special), "doc_id long, piece int, start long, length long, ids_crc32 long, seen long")
 
 
 # -- plan, from counts by length ---------------------------------------------------
@@ -182,8 +186,8 @@ def _grouped(counts: dict[int, int], large: list[int], groups: int) -> dict[int,
     for n in large:
         rank, left = 0, counts[n]
         while left:
-            if not room or groups >= CAPACITY:
-                size, room = n, max(each, left if groups >= CAPACITY else 0)
+            if not room:
+                size, room = n, each
             take = min(left, room)
             queues.setdefault(size, []).append([n, rank, take])
             rank, left, room = rank + take, left - take, room - take
@@ -241,11 +245,11 @@ def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> _Plan:
 def _ranked(cut: DataFrame, n: int) -> DataFrame:
     """Rank of each piece within its length: within blocks, then over the blocks."""
     blocks = max(1, n // RANK_BLOCK)
-    b = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
+    b = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "seen"), F.lit(blocks)))
     of = b.groupBy("length", "block").agg(F.count(F.lit(1)).alias("k"))
     over = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     of = of.select("length", "block", F.coalesce(F.sum("k").over(over), F.lit(0)).alias("before"))
-    inner = Window.partitionBy("length", "block").orderBy("doc_id", "piece", "ids_crc32")
+    inner = Window.partitionBy("length", "block").orderBy("doc_id", "piece", "ids_crc32", "seen")
     return b.withColumn("inner", F.row_number().over(inner) - 1).join(of, ["length", "block"]) \
         .withColumn("rank", F.col("before") + F.col("inner")).drop("block", "inner", "before")
 
@@ -260,7 +264,7 @@ def packed(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPAC
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most CAPACITY numbers
     if not counts:
         none = F.lit(None).cast("long")
-        return cut.withColumns({"sequence_id": none, "offset": none})
+        return cut.drop("seen").withColumns({"sequence_id": none, "offset": none})
     plan = best_plan(counts, capacity)
     slots = literal_table(cut.sparkSession, plan.slots)
     joined = _ranked(cut, sum(counts.values())).join(
