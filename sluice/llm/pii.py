@@ -10,9 +10,14 @@ label is a kind with at least ``SURE`` becomes an added span. So a number or add
 that the rules know in one place is found in its other writings too.
 
 Weights are fitted by pseudo-likelihood on at most ``SAMPLE`` distinct texts (those with
-the smallest hashes), labelled by the rules. Base nodes are also shown
+the smallest hashes), labelled by the rules. Tasks turn these texts into rows of features;
+equal rows are counted, and only the distinct ones come to the driver. Base nodes are also shown
 without the features that the rules look at, so that the field learns to rely on
-equal neighbours; nodes that share a key with a base span but are none have no label.
+equal neighbours; other writings of a base span's value (the same key) have its label, or
+none if base spans of several kinds have that key.
+
+Neighbours more than ``NEAR`` characters apart share no chain potential; skip potentials
+have no limit. A very long text takes time in proportion to its length.
 
 Defined cases: a null or empty text has no spans; repeated rows and null ids are
 documents like others; with an empty table, or no base span in the sample, the weights
@@ -21,8 +26,10 @@ listed. Extra columns are ignored.
 """
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,7 +52,7 @@ NEAR = 200
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MAYBE = re.compile(r"[0-9@]")
@@ -95,7 +102,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # -- nodes -----------------------------------------------------------------------
 
 _NUMBER = re.compile(r"[(]?[0-9][0-9\x20().-]*[0-9]")
-_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:@|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9-]+(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]+)*")
+#: An address from its sign on; the part in front is read backwards.
+_ADDRESS = re.compile(r"(?:@|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9-]+(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]+)*")
 _CUES = {w: k for k, ws in enumerate((("mail", "email", "e-mail", "contact"), ("ip", "host", "server", "addr"),
                                      ("card", "visa", "credit", "iban"), ("phone", "tel", "call", "mobile", "fax"))) for w in ws}
 N_FEATURES = 24
@@ -143,15 +151,37 @@ def _features(text: str, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
     return f, hidden
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    done = 0
+    for m in _ADDRESS.finditer(text):
+        start = m.start()
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < m.start():
+            yield start, m.end()
+        done = m.end()
+
+
+def _free(taken: list[tuple[int, int]]):
+    """Whether a stretch meets none of the taken ones, by search in their union."""
+    starts, ends = [], []
+    for a, b in sorted(taken):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a), ends.append(b)
+    return lambda a, b: bisect.bisect_right(ends, a) == bisect.bisect_left(starts, b)
+
+
 def nodes(text: str, base: list[tuple[int, int, int]]) -> list[Node]:
     found = [(a, b, k) for a, k, b in base]
     if _MAYBE.search(text) or "at" in text:
-        taken = sorted((a, b) for a, b, _ in found)
-        open_ = [m.span() for m in _ADDRESS.finditer(text)] if "@" in text or "at)" in text or "at]" in text else []
+        free = _free([(a, b) for a, b, _ in found])
+        open_ = list(_addresses(text)) if "@" in text or "at)" in text or "at]" in text else []
         open_ += [m.span() for m in _NUMBER.finditer(text) if 7 <= len(_NOT_DIGIT.sub("", m.group())) <= 19]
         last = -1
         for a, b in sorted(open_):
-            if a >= last and not any(x < b and a < y for x, y in taken):
+            if a >= last and free(a, b):
                 found.append((a, b, -1))
                 last = b
     out = []
@@ -196,30 +226,42 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def examples(text: str) -> Iterator[tuple[int, ...]]:
+    """A row of small whole numbers for each labelled node of one text: features, label,
+    neighbours by label along chain and skip edges."""
+    ns = nodes(text, base_spans(text))
+    known: dict[str, int] = {}
+    for n in ns:
+        if n.label >= 0:
+            known[n.key] = n.label if known.get(n.key, n.label) == n.label else -1
+    label = [n.label if n.label >= 0 else known.get(n.key, OTHER) for n in ns]
+    near = [np.zeros((2, OTHER + 1)) for _ in ns]
+    for which, es in enumerate(edges(ns)):
+        for a, b in es:
+            for p, q in ((a, b), (b, a)):
+                if label[q] >= 0:
+                    near[p][which][label[q]] += 1
+    for n, own, around in zip(ns, label, near, strict=True):
+        for f in ((n.features, n.hidden) if n.label >= 0 and around[1].any() else (n.features,)) if own >= 0 else ():
+            yield tuple(int(v) for v in (*f, own, *around[0], *around[1]))
+
+
 def fit(texts: list[str], steps: int = 150, rate: float = 1.0, pull: float = 1e-3) -> Weights:
-    """Pseudo-likelihood with the neighbours' labels given, pulled towards the prior."""
-    x, y, c, s = [], [], [], []
-    for text in texts:
-        ns = nodes(text, base_spans(text))
-        if not ns:
-            continue
-        known = {n.key for n in ns if n.label >= 0}
-        label = [n.label if n.label >= 0 else -1 if n.key in known else OTHER for n in ns]
-        near = [np.zeros((2, OTHER + 1)) for _ in ns]
-        for which, es in enumerate(edges(ns)):
-            for a, b in es:
-                for p, q in ((a, b), (b, a)):
-                    if label[q] >= 0:
-                        near[p][which][label[q]] += 1
-        for n, own, around in zip(ns, label, near, strict=True):
-            for f in ((n.features, n.hidden) if n.label >= 0 and around[1].any() else (n.features,)) if own >= 0 else ():
-                x.append(f), y.append(own), c.append(around[0]), s.append(around[1])
+    return fit_counted(Counter(e for text in texts for e in examples(text)), steps, rate, pull)
+
+
+def fit_counted(counts: dict[tuple[int, ...], int], steps: int = 150, rate: float = 1.0, pull: float = 1e-3) -> Weights:
+    """Pseudo-likelihood with the neighbours' labels given, pulled towards the prior, from
+    distinct examples and how often each occurs."""
     w, start = prior(), prior()
-    if not x or all(k == OTHER for k in y):
+    rows = np.array(sorted(counts), dtype=float).reshape(len(counts), -1)
+    if not counts or (rows[:, N_FEATURES] == OTHER).all():
         return w
-    x, c, s, t = np.array(x), np.array(c), np.array(s), np.eye(OTHER + 1)[y]
+    often = np.array([counts[k] for k in sorted(counts)], dtype=float)
+    x, y, c, s = rows[:, :N_FEATURES], rows[:, N_FEATURES].astype(int), rows[:, N_FEATURES + 1:-OTHER - 1], rows[:, -OTHER - 1:]
+    t = np.eye(OTHER + 1)[y]
     # every kind counts alike, however rare
-    weight = (1 / np.maximum(t.sum(axis=0), 1))[y]
+    weight = often * (1 / np.maximum(often @ t, 1))[y]
     weight = (weight / weight.sum())[:, None]
     for _ in range(steps):
         off = weight * (t - _softmax(x @ w.unary + c @ w.chain + s @ w.skip))
@@ -273,15 +315,27 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = Counter(e for text in batch.column("text") for e in examples(text.as_py()))
+        yield pa.RecordBatch.from_arrays([pa.array([list(e) for e in found], pa.list_(pa.int32())),
+                                          pa.array(list(found.values()), pa.int64())], names=["example", "n"])
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Weights:
     """Fits on the ``sample`` distinct texts with the smallest hashes. A bound on the hash lets
-    about twice as many through, so tasks send no more to the driver, however many they are."""
-    texts = docs.select("text", F.xxhash64("text").alias("h"))
-    some = F.col("text").rlike("[0-9@]")
-    n = texts.filter(some).agg(F.approx_count_distinct("h")).first()[0]
+    about twice as many through, so tasks send no more hashes to the driver, however many
+    they are. The texts stay in the tasks."""
+    shipped(docs.sparkSession)
+    texts = docs.select("text", F.xxhash64("text").alias("h")).filter(F.col("text").rlike("[0-9@]"))
+    n = texts.agg(F.approx_count_distinct("h")).first()[0]
     most = -2**63 + int(2**64 * 2 * sample / max(n, 2 * sample)) - 1
-    picked = texts.filter((F.col("h") <= most) & some).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(sample)
-    return fit([r["text"] for r in picked.collect()])
+    hashes = [r["h"] for r in texts.filter(F.col("h") <= most).select("h").distinct().orderBy("h").limit(sample).collect()]
+    if not hashes:
+        return prior()
+    picked = texts.filter(F.col("h") <= hashes[-1]).groupBy("h").agg(F.min("text").alias("text")).select("text")
+    counted = picked.mapInArrow(_examples, "example array<int>, n long").groupBy("example").agg(F.sum("n").alias("n"))
+    return fit_counted({tuple(r["example"]): r["n"] for r in counted.collect()})
 
 
 def personal_data(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
