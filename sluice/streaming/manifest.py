@@ -23,18 +23,34 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators.nested import widened
 from sluice.streaming.epochs import Files
 
-#: Bytes of one file of a part.
-FILE_BYTES = 256 << 20
+#: Bytes of one file of a part, at most, and about the bytes of rows that one task sorts:
+#: files of repetitive rows are far smaller than the rows.
+FILE_BYTES, SORT_BYTES = 256 << 20, 128 << 20
 KEYS = ("topic", "partition", "offset")
 
 
+def _row_bytes(rows: DataFrame) -> Column:
+    """About the bytes of a row in memory: a word a column, and what has no fixed width."""
+    wide = []
+    for f in rows.schema:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            wide.append(F.octet_length(c))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            wide.append(F.octet_length(c.cast("string")))
+    words = F.lit(8 * (len(rows.columns) + 3)).cast("long")
+    return reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), wide, words)
+
+
 class LandedTable:
     def __init__(self, spark: SparkSession, target: str):
         self.spark, self.target, self.files = spark, target.rstrip("/"), Files(spark)
@@ -98,7 +114,8 @@ class LandedTable:
     def _write_part(self, rows: DataFrame, size: int, tier: int, first: int, last: int, file_bytes: int) -> dict:
         path = uuid.uuid4().hex
         order = [k for k in KEYS if k in rows.columns] or rows.columns[:1]
-        (rows.repartitionByRange(max(1, -(-size // file_bytes)), *order).sortWithinPartitions(*order)
+        in_memory = rows.agg(F.sum(_row_bytes(rows)).alias("n")).first().n or 0
+        (rows.repartitionByRange(max(1, -(-size // file_bytes), -(-in_memory // SORT_BYTES)), *order).sortWithinPartitions(*order)
          .write.parquet(f"{self.parts}/{path}"))
         written = self.spark.read.parquet(f"{self.parts}/{path}")
         ranges = []

@@ -2,11 +2,13 @@
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import log_df
 from sluice.plans.catalog import USERS
 from sluice.operators.spec import ColumnSpec, TableSpec
 from sluice.streaming import landing as sl
+from sluice.streaming import manifest
 from sluice.streaming.manifest import LandedTable
 
 
@@ -99,3 +101,16 @@ def test_empty_table_and_lost_race(spark, base):
     with pytest.raises(FileExistsError):
         table.files.publish(f"{table.manifests}/v{1:09d}.json", "{}")
     assert _offsets(table.read()) == [0, 1, 2]
+
+
+def test_repetitive_rows_are_sorted_by_several_tasks(spark, base, monkeypatch):
+    monkeypatch.setattr(manifest, "SORT_BYTES", 100_000, raising=False)
+    table = LandedTable(spark, base + "/t")
+    rows = spark.range(3000).selectExpr("'u' topic", "0 partition", "id offset", "repeat('x', 100) text", "array('y') `a.b`")
+    for e in range(2):
+        rows.repartition(3).write.parquet(f"{base}/t/_epoch={e}")
+    part = table.compact()["parts"][0]["path"]
+    files = spark.read.parquet(f"{base}/t-parts/{part}").select("*", "_metadata.file_path").groupBy("file_path").agg(
+        F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi")).orderBy("lo").collect()
+    assert len(files) > 3 and sum(f.n for f in files) == 3000 and max(f.n for f in files) < 1500
+    assert all(a.hi < b.lo for a, b in zip(files, files[1:]))
