@@ -395,6 +395,19 @@ def _stage_input(spark, df: DataFrame, name: str) -> str:
     return path
 
 
+#: Records of the log for which each group of log partitions gets one more file.
+STAGED_RECORDS = 1 << 20
+
+
+def _by_log_partition(spark, sf, df: DataFrame, groups: int = 6) -> DataFrame:
+    """The records of each group of log partitions in files of their own, as many as the
+    log's length asks for, cut by offset; all copies of a record are in one file."""
+    n = max(1, -(-read_table(spark, sf, "events").count() // STAGED_RECORDS))
+    group = F.pmod(F.hash("topic", "partition"), F.lit(groups))
+    part = F.pmod(F.xxhash64("offset"), F.lit(n)).cast("int")
+    return df.repartitionById(groups * n, group * n + part)
+
+
 def _files_per_trigger(spark, path: str, batches: int = 4) -> int:
     """Files per micro-batch so a staged input replays in about ``batches``
     micro-batches whatever the number of files the write produced."""
@@ -432,7 +445,7 @@ def q_stream_dedup(spark, sf):
     from sluice.session import checkpoint_path
     from sluice.sources.log_source import file_stream
     from sluice.streaming.ops import dedup_exact
-    src = _stage_input(spark, fx.log_records_dup(spark, sf).repartition(6, "topic", "partition"), "log_records_dup")
+    src = _stage_input(spark, _by_log_partition(spark, sf, fx.log_records_dup(spark, sf)), "log_records_dup")
     run = checkpoint_path(spark, "stream_dedup", uuid.uuid4().hex[:10])
     out = dedup_exact(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)))
     q = (out.writeStream.format("parquet").option("checkpointLocation", run + "/ckpt")
@@ -466,7 +479,7 @@ def q_stream_dedup_intervals(spark, sf):
     from sluice.session import checkpoint_path
     from sluice.sources.log_source import file_stream
     from sluice.streaming.intervals import start_dedup
-    src = _stage_input(spark, fx.log_records_dup(spark, sf).repartition(6, "topic", "partition"), "log_records_dup")
+    src = _stage_input(spark, _by_log_partition(spark, sf, fx.log_records_dup(spark, sf)), "log_records_dup")
     run = checkpoint_path(spark, "stream_dedup_intervals", uuid.uuid4().hex[:10])
     start_dedup(file_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src)),
                 run + "/out", run + "/ckpt", {"availableNow": True}).awaitTermination()
