@@ -19,46 +19,57 @@ from pyspark.sql import types as T
 
 from sluice.functions import casts
 from sluice.functions.json_fields import parse_object
-from sluice.functions.plan import fence
 
 #: The bits of a mask, narrowest first: the type of a path is that of its lowest bit.
 BITS = {"BIGINT": 1, "DECIMAL": 2, "BOOLEAN": 4, "DATE": 8, "TIMESTAMP": 16, "OBJECT": 32, "ARRAY": 64}
 SPARK_TYPE = {"BIGINT": "bigint", "DECIMAL": "decimal(38,9)", "BOOLEAN": "boolean", "DATE": "date",
               "TIMESTAMP": "timestamp_ntz"}
-ELEMENT = "[]"
+ELEMENT, DEEPER = "[]", ""
 _MAP, _LIST = "map<string,variant>", "array<variant>"
 
 
+def _node(steps: Column, v: Column) -> Column:
+    """A node, cast to its fields and its elements once (both NULL for a scalar)."""
+    return F.struct(steps.alias("steps"), v.alias("v"), v.try_cast(_MAP).alias("fields"), v.try_cast(_LIST).alias("elements"))
+
+
 def _children(node: Column) -> Column:
     """The nodes directly below one node; none below a scalar."""
-    fields = F.transform(F.map_entries(node["v"].try_cast(_MAP)), lambda e: F.struct(
-        F.concat(node["steps"], F.array(F.concat(F.lit("."), e["key"]))).alias("steps"), e["value"].alias("v")))
-    elements = F.transform(node["v"].try_cast(_LIST), lambda x: F.struct(
-        F.concat(node["steps"], F.array(F.lit(ELEMENT))).alias("steps"), x.alias("v")))
-    return F.coalesce(fields, elements, F.array().cast("array<struct<steps:array<string>,v:variant>>"))
+    fields = F.transform(F.map_entries(node["fields"]), lambda e: _node(
+        F.concat(node["steps"], F.array(F.concat(F.lit("."), e["key"]))), e["value"]))
+    elements = F.transform(node["elements"], lambda x: _node(F.concat(node["steps"], F.array(F.lit(ELEMENT))), x))
+    return F.coalesce(fields, elements, F.array())
+
+
+def _read(node: Column) -> Column:
+    """What the summary takes from a node."""
+    is_object, is_list = node["fields"].isNotNull(), node["elements"].isNotNull()
+    return F.struct(node["steps"].alias("steps"), F.when(~is_object & ~is_list, node["v"].try_cast("string")).alias("text"),
+                    is_object.alias("is_object"), is_list.alias("is_list"))
+
+
+def _deeper() -> Column:
+    """Stands for nodes below the last level (the first step of a path begins with a dot)."""
+    return F.struct(F.array(F.lit(DEEPER)).alias("steps"), F.lit("").alias("text"), F.lit(False).alias("is_object"),
+                    F.lit(False).alias("is_list"))
+
 
+def _walk(nodes: Column, depth: int) -> Column:
+    """The nodes of ``depth`` levels as :func:`_read`; each lambda binds a node once."""
+    def visit(node: Column, left: int) -> Column:
+        if left == 1:
+            return F.when(F.size(_children(node)) > 0, F.array(_read(node), _deeper())).otherwise(F.array(_read(node)))
+        return F.concat(F.array(_read(node)), F.flatten(F.transform(_children(node), lambda x: visit(x, left - 1))))
+    return F.flatten(F.transform(nodes, lambda x: visit(x, depth)))
 
-def _levels(df: DataFrame, value: str, depth: int) -> DataFrame:
-    """One column ``l0``, ``l1``, ... with the nodes of each level."""
+
+def _nodes(df: DataFrame, value: str, depth: int) -> DataFrame:
+    """One row per node of the first ``depth`` levels, read in one parse of a payload."""
     exact = F.try_parse_json(F.col(value)).try_cast(_MAP)
     as_text = F.transform_values(parse_object(F.col(value)), lambda k, v: v.cast("variant"))
-    top = F.transform(F.map_entries(F.coalesce(exact, as_text)), lambda e: F.struct(
-        F.array(F.concat(F.lit("."), e["key"])).alias("steps"), e["value"].alias("v")))
-    d = fence(df.select(top.alias("l0"))).where(F.col("l0").isNotNull())   # one parse a row
-    for k in range(1, depth):
-        d = d.withColumn(f"l{k}", F.flatten(F.transform(f"l{k - 1}", _children)))
-    return d
-
-
-def _depth(df: DataFrame, value: str, start: int = 4) -> int:
-    """Levels needed for every path: doubled until no row has a node below the last.
-    One flag a round comes to the driver; most data need one round."""
-    depth = start
-    while True:
-        last = F.col(f"l{depth - 1}")
-        if not _levels(df, value, depth).agg(F.max(F.exists(last, lambda n: F.size(_children(n)) > 0)).alias("more")).first().more:
-            return depth
-        depth *= 2
+    top = F.transform(F.map_entries(F.coalesce(exact, as_text)), lambda e: _node(
+        F.array(F.concat(F.lit("."), e["key"])), e["value"]))
+    return df.select(F.inline(_walk(top, depth)))
 
 
 def _mask(text: Column, is_object: Column, is_list: Column) -> Column:
@@ -72,12 +83,20 @@ def _mask(text: Column, is_object: Column, is_list: Column) -> Column:
 
 def path_summary(df: DataFrame, value: str = "value", depth: int | None = None) -> DataFrame:
     """``steps``, ``mask``, ``n_values`` of every path of the payloads: one scan and one
-    grouped aggregate with partial sums. ``depth`` levels are walked (default: all)."""
-    depth = depth or _depth(df, value)
-    nodes = _levels(df, value, depth).select(F.inline(F.concat(*[F.col(f"l{k}") for k in range(depth)])))
-    v = F.col("v")
-    read = fence(nodes.select("steps", v.try_cast("string").alias("text"), v.try_cast(_MAP).isNotNull().alias("is_object"),
-                              v.try_cast(_LIST).isNotNull().alias("is_list"))).where(F.col("text").isNotNull())
+    grouped aggregate with partial sums. ``depth`` levels are walked (default: all; levels
+    are doubled until nothing lies deeper, and the summary, one row a path, is kept)."""
+    if depth:
+        return _summary(df, value, depth).where(F.element_at("steps", 1) != DEEPER)
+    depth = 4
+    while True:
+        s = _summary(df, value, depth).localCheckpoint()
+        if s.where(F.element_at("steps", 1) == DEEPER).isEmpty():
+            return s
+        depth *= 2
+
+
+def _summary(df: DataFrame, value: str, depth: int) -> DataFrame:
+    read = _nodes(df, value, depth).where(F.col("is_object") | F.col("is_list") | F.col("text").isNotNull())
     return _grouped(read.select("steps", _mask(F.col("text"), F.col("is_object"), F.col("is_list")).alias("mask"),
                                 F.lit(1).cast("long").alias("n_values")))
 

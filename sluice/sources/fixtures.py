@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.numbering import dense_sequence
+from sluice.functions.plan import fence
 from sluice.functions.timefn import epoch_millis, trunc_ntz
 from sluice.tables import read_table
 
@@ -165,7 +166,8 @@ def log_records_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records that are objects (of those with faults), as nested envelopes: meta
     data with arrays of text and of objects, and the payload as ``body``."""
-    lr = log_records_bad(spark, sf_dir).where(F.try_parse_json("value").isNotNull() & F.ltrim("value").startswith("{"))
+    lr = fence(log_records_bad(spark, sf_dir))   # one value a record
+    lr = lr.where(F.ltrim("value").startswith("{") & F.try_parse_json("value").isNotNull())
     value = F.concat(F.lit('{"meta":{"offset":'), _s(F.col("offset")), F.lit(',"tags":["'), F.col("topic"), F.lit('","p'),
                      _s(F.col("partition")), F.lit('"],"pushes":[{"ms":'), _s(F.col("push_time")),
                      F.lit('}]},"body":'), F.col("value"), F.lit("}"))

@@ -101,3 +101,19 @@ def test_nested_columns_over_epochs_and_compaction(spark):
     assert rows() == want
     LandedTable(spark, target).compact()
     assert rows() == want
+
+
+def test_payloads_are_read_once_and_to_the_last_level(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def payload(k):
+        read.add(1)
+        return '{"a":{"b":[{"c":%d}]},"e":[]}' % k
+
+    df = spark.range(0, 10, 1, 2).select(payload("id").alias("value"))
+    found = {r.path: (r.inferred_type, r.n_values) for r in nested.infer_paths(df).collect()}
+    assert read.value == 10                   # 20 before: once for the depth
+    assert found == {"a": ("OBJECT", 10), "a.b": ("ARRAY", 10), "a.b[]": ("OBJECT", 10), "a.b[].c": ("BIGINT", 10), "e": ("ARRAY", 10)}
+    deep = _paths(_df(spark, '{"a":[[[{"b":[{"c":{"d":[true]}}]}]]],"":1}'))
+    assert deep["a[][][].b[].c.d[]"] == ("BOOLEAN", 1) and len(deep) == 10
